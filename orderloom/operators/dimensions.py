@@ -6,17 +6,19 @@ time, is below the threshold, and shuffles it otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _lookup(tables: dict[str, DataFrame], table: str, key: str, **columns: str) -> DataFrame:
+def _lookup(tables: Mapping[str, DataFrame], table: str, key: str, **columns: str) -> DataFrame:
     """Columns of a table under new names, with its id as `key`."""
     picked = [F.col(old).alias(new) for new, old in columns.items()]
     return tables[table].select(F.col("id").alias(key), *picked)
 
 
-def edition_products(tables: dict[str, DataFrame]) -> DataFrame:
+def edition_products(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Edition, title and title types by product id (`saleable_id`)."""
     products = _lookup(
         tables, "edition_product_types", "saleable_id", edition_id="edition_id", ref_code="ref_code"
@@ -37,7 +39,7 @@ def edition_products(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def customized_books(tables: dict[str, DataFrame]) -> DataFrame:
+def customized_books(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Customised books by id (`saleable_id`), with the abbreviation of their meta data."""
     books = _lookup(
         tables, "customized_books", "saleable_id",
@@ -47,7 +49,7 @@ def customized_books(tables: dict[str, DataFrame]) -> DataFrame:
     return books.join(abbreviations, "meta_id", "left").drop("meta_id")
 
 
-def saleables(tables: dict[str, DataFrame]) -> DataFrame:
+def saleables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Edition products and customised books side by side, by `saleable_id`.
 
     The two id spaces overlap. Which side applies depends on the item, so both are kept and
@@ -56,11 +58,11 @@ def saleables(tables: dict[str, DataFrame]) -> DataFrame:
     return edition_products(tables).join(customized_books(tables), "saleable_id", "full")
 
 
-def standard_meta(tables: dict[str, DataFrame]) -> DataFrame:
+def standard_meta(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _lookup(tables, "standard_meta_data", "itemParentable_id", standard_abbr="abbr")
 
 
-def sales_organisation(tables: dict[str, DataFrame]) -> DataFrame:
+def sales_organisation(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Branch, sales group and its manager's name by `branch_id`.
 
     A manager with several contact rows gives several rows per branch; `contacts` says how
@@ -83,7 +85,7 @@ def sales_organisation(tables: dict[str, DataFrame]) -> DataFrame:
     return branches.join(managers.drop("contact_id"), "sales_group_id", "left")
 
 
-def customers(tables: dict[str, DataFrame]) -> DataFrame:
+def customers(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Customer name and category by customer id (`contactable_id`)."""
     names = _lookup(
         tables, "customers", "contactable_id", customer_name="billing_name", role_id="role_id"

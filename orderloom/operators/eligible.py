@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from orderloom.constants import CUSTOMIZED_BOOK, EDITION_PRODUCT, ORDER_STATES
 from orderloom.functions.matching import ends_with, one_of
 from orderloom.settings import Settings
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def eligible_items(tables: Tables, settings: Settings = Settings()) -> DataFrame:

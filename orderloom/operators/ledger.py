@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from orderloom.settings import Settings
 
 
 def payment_lines(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     invoice_ids: DataFrame | None = None,
     changes: tuple[datetime, tuple[str, ...]] | None = None,
@@ -112,7 +113,7 @@ def daily_payments(lines: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def payments_by_invoice(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     invoice_ids: DataFrame | None = None,
 ) -> DataFrame:
@@ -132,14 +133,14 @@ def payments_by_invoice(
     )
 
 
-def mode_totals(tables: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
+def mode_totals(tables: Mapping[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
     """Amounts per invoice and payment mode; 0 for a mode that was not used."""
     return payments_by_invoice(tables, settings).select(
         "invoice_id", "cash_amount", "cheque_amount", "online_amount"
     )
 
 
-def advances(tables: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
+def advances(tables: Mapping[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
     """Amounts credited before the invoice was booked, for invoices that have any."""
     return (
         payment_lines(tables, settings)

@@ -6,6 +6,7 @@ min(b) - max(a), so the logs are aggregated once and never joined with themselve
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ from orderloom.functions.times import changed_after, days_between, moment, secon
 from orderloom.settings import Settings
 
 
-def first_delivery(tables: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
+def first_delivery(tables: Mapping[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
     """Time of the first delivery of each shipment that was delivered."""
     logs = tables["shipment_state_logs"]
     return (
@@ -52,7 +53,7 @@ def _product(prefix: str, names: list[str]) -> Column:
 
 
 def shipment_tat(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     ids: DataFrame | None = None,
     changes: tuple[datetime, str] | None = None,
@@ -110,7 +111,7 @@ def shipment_tat(
 
 
 def order_tat(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     ids: DataFrame | None = None,
     changes: tuple[datetime, str] | None = None,
@@ -169,7 +170,7 @@ def order_tat(
     return orders.join(spans, "sale_order_id").select(*columns)
 
 
-def shipment_span(tables: dict[str, DataFrame], ordered: bool = True) -> DataFrame:
+def shipment_span(tables: Mapping[str, DataFrame], ordered: bool = True) -> DataFrame:
     """Days between the first and last log row of each shipment; NULL without log rows.
 
     `ordered` sorts by the span, missing ones first.

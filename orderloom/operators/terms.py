@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def commitment_date(
     return F.when(on_delivery, delivered_at).otherwise(plus_days(start, days))
 
 
-def installment_due(tables: dict[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+def installment_due(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
     """Last instalment date per order with instalments. Cancelled orders are left to the caller.
 
     An order whose instalment dates are all missing still has a row.
@@ -39,7 +41,7 @@ def installment_due(tables: dict[str, DataFrame], ids: DataFrame | None = None)
     )
 
 
-def installment_lists(tables: dict[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+def installment_lists(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
     """Instalments per order as a list by day; amounts of one day are summed."""
     plans = tables[INSTALLMENTS].filter(F.col("id").isNotNull())
     if ids is not None:

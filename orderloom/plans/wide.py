@@ -11,7 +11,7 @@ join has one side with few rows per key, which is what `attach` and `expand` nee
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from orderloom.operators.ledger import payments_by_invoice
 from orderloom.schemas import wide_schema
 from orderloom.settings import Settings
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Output columns that need a group of joins. A group none of whose columns is asked for is
 # left out; joins that can multiply rows are always made.
@@ -326,9 +326,10 @@ def order_items(
 
 
 def _day_list(array: str, field: str) -> Column:
-    """One field of a list of structs, as comma-separated text; NULL for an empty list."""
+    """One field of a list of structs, as comma-separated text; NULL if there is none."""
     texts = F.transform(F.col(array), lambda e: e[field].cast("string"))
-    return F.when(F.size(F.col(array)) > 0, F.array_join(texts, ","))
+    texts = F.filter(texts, lambda text: text.isNotNull())
+    return F.when(F.size(texts) > 0, F.array_join(texts, ","))
 
 
 def build_detail(

@@ -1,27 +1,39 @@
-"""Load the source tables as a dictionary of DataFrames."""
+"""Load the source tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schemas import SOURCE_TABLES, conform, struct
 
-Tables = dict[str, DataFrame]
+
+class Tables(Mapping[str, DataFrame]):
+    """The source tables by name, each loaded and typed when it is first used."""
+
+    def __init__(self, load: Callable[[str], DataFrame]):
+        self._load, self._loaded = load, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._loaded:
+            self._loaded[name] = conform(self._load(name), SOURCE_TABLES[name], name)
+        return self._loaded[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SOURCE_TABLES)
+
+    def __len__(self) -> int:
+        return len(SOURCE_TABLES)
 
 
 def from_frames(frames: Mapping[str, DataFrame]) -> Tables:
-    """Check and type the given frames; all source tables must be there."""
+    """The given frames; all source tables must be there."""
     missing = sorted(set(SOURCE_TABLES) - set(frames))
     if missing:
         raise ValueError(f"missing source tables {missing}")
-    return {name: conform(frames[name], ddl, name) for name, ddl in SOURCE_TABLES.items()}
-
-
-def from_reader(read: Callable[[str], DataFrame]) -> Tables:
-    return from_frames({name: read(name) for name in SOURCE_TABLES})
+    return Tables(frames.__getitem__)
 
 
 def from_files(spark: SparkSession, root: str, format: str = "parquet", **options: str) -> Tables:
@@ -36,12 +48,12 @@ def from_files(spark: SparkSession, root: str, format: str = "parquet", **option
             reader = reader.schema(struct(SOURCE_TABLES[name]))
         return reader.load(f"{root}/{name}")
 
-    return from_reader(read)
+    return Tables(read)
 
 
 def from_catalog(spark: SparkSession, database: str | None = None) -> Tables:
     """Tables or views of the catalog."""
-    return from_reader(lambda name: spark.table(f"{database}.{name}" if database else name))
+    return Tables(lambda name: spark.table(f"{database}.{name}" if database else name))
 
 
 def jdbc_options(
@@ -80,7 +92,7 @@ def from_jdbc(spark: SparkSession, url: str, partitions: int = 1, **options: str
         low, high = scan(table).agg(F.min(key), F.max(key)).first()
         return scan(table, (int(low), int(high)) if low is not None else None)
 
-    return from_reader(read)
+    return Tables(read)
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:
