@@ -18,10 +18,8 @@ FETCHED_AT = "2024-01-01 00:00:00"
 
 TABLES = {
     "li": r"""
-        SELECT ('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
-                   l_quantity::DECIMAL(18,2), l_extendedprice::DECIMAL(18,2),
-                   l_discount::DECIMAL(18,2), l_tax::DECIMAL(18,2), l_returnflag, l_linestatus,
-                   strftime(l_shipdate, '%Y-%m-%d'))), 1, 15))::BIGINT AS rid,
+        SELECT (l_orderkey * 8 + l_linenumber) * 2097152
+                   + round(l_extendedprice * 100)::BIGINT % 2097152 AS rid,
                l_orderkey AS okey, l_partkey AS part, l_suppkey AS supp, l_linenumber AS line,
                l_quantity::DECIMAL(18,2) AS quantity, l_extendedprice::DECIMAL(18,2) AS price,
                l_discount::DECIMAL(18,2) AS discount, l_tax::DECIMAL(18,2) AS tax,

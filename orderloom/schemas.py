@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
@@ -102,14 +101,16 @@ def wide_columns() -> list[str]:
     return wide_schema().names
 
 
-def _converted(column: F.Column, have: T.DataType, want: T.DataType) -> F.Column:
+def _converted(name: str, have: T.DataType, want: T.DataType) -> str:
     timestamps = (T.TimestampType, T.TimestampNTZType)
     if have == want or (isinstance(have, timestamps) and isinstance(want, timestamps)):
-        return column
+        return f"`{name}`"
+    kind = want.simpleString()
     if isinstance(have, (T.FloatType, T.DoubleType)):
-        column = F.when(~F.isnan(column), column)
+        return f"cast(nullif(`{name}`, double('NaN')) as {kind}) as `{name}`"
     # Unreadable text becomes NULL instead of failing the job.
-    return column.try_cast(want) if isinstance(have, T.StringType) else column.cast(want)
+    cast = "try_cast" if isinstance(have, T.StringType) else "cast"
+    return f"{cast}(`{name}` as {kind}) as `{name}`"
 
 
 def conform(df: DataFrame, ddl: str, name: str = "table") -> DataFrame:
@@ -118,11 +119,9 @@ def conform(df: DataFrame, ddl: str, name: str = "table") -> DataFrame:
     Zoned and zoneless timestamps are both kept as they are, so that filters on them
     still reach the scan.
     """
+    have = {f.name: f.dataType for f in df.schema}
     want = struct(ddl)
-    missing = [f.name for f in want if f.name not in df.columns]
+    missing = [f.name for f in want if f.name not in have]
     if missing:
         raise ValueError(f"{name} lacks columns {missing}")
-    have = {f.name: f.dataType for f in df.schema}
-    return df.select(
-        *[_converted(F.col(f.name), have[f.name], f.dataType).alias(f.name) for f in want]
-    )
+    return df.selectExpr(*[_converted(f.name, have[f.name], f.dataType) for f in want])
