@@ -366,7 +366,9 @@ def build_detail(
         min_bytes=settings.hot_min_bytes,
     )["sale_order_item_id"]
     rows = expand(rows, lines, "sale_order_item_id", hot, ["invoice_item_id"])
-    return _finish(rows, settings, needs).select(*wanted)
+    types = {f.name: f.dataType.simpleString() for f in wide}
+    typed = [f"cast({c} as {types[c]}) as {c}" if c in types else c for c in wanted]
+    return _finish(rows, settings, needs).selectExpr(*typed)
 
 
 def _finish(rows: DataFrame, settings: Settings, needs) -> DataFrame:
@@ -419,11 +421,7 @@ def _finish(rows: DataFrame, settings: Settings, needs) -> DataFrame:
         new["installment_amounts"] = _day_list("installment_plan", "amount")
         for name in ("installment_dates", "installment_amounts"):
             new[name] = F.when(F.col("is_installment") == 1, new[name])
-    rows = rows.withColumns(new)
-    types = {f.name: f.dataType for f in wide_schema()}
-    return rows.select(
-        *[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in rows.columns]
-    )
+    return rows.withColumns(new)
 
 
 def build_wide(

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Call sites of expressions are only for error messages and make large plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
