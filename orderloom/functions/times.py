@@ -29,5 +29,5 @@ def plus_days(when: Column, days: Column) -> Column:
 
 
 def changed_after(column: Column, since: datetime) -> Column:
-    """True when the row is newer; a missing time counts as unchanged."""
-    return F.coalesce(column > moment(since), F.lit(False))
+    """True when the row is newer; NULL, which filters drop, when it has no time."""
+    return column > moment(since)

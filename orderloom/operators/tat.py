@@ -32,7 +32,7 @@ def first_delivery(tables: Mapping[str, DataFrame], settings: Settings = Setting
 
 def _counts(name: str, matches: Column, since: datetime, stamp: str) -> list[Column]:
     """Rows of one log state, and those of them that did not change."""
-    new = changed_after(F.col(stamp), since)
+    new = F.coalesce(changed_after(F.col(stamp), since), F.lit(False))
     return [
         F.count(F.when(matches, 1)).alias(f"n_{name}"),
         F.count(F.when(matches & ~new, 1)).alias(f"u_{name}"),

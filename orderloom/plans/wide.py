@@ -29,6 +29,7 @@ from orderloom.operators.hotkeys import attach, expand, hot_keys
 from orderloom.operators.ledger import payments_by_invoice
 from orderloom.schemas import wide_schema
 from orderloom.settings import Settings
+from orderloom.sources.shared import keep
 
 Tables = Mapping[str, DataFrame]
 
@@ -193,6 +194,9 @@ def invoice_lines(
         items,
         "sale_order_item_id",
     )
+    if items is not None:
+        # Read several times below, to limit what is read of invoices, ledger and shipments.
+        lines = keep(lines, "invoice_lines")
     hot = hot_keys(lines, "shipment_item_id", "invoice_id", min_bytes=small)
     row = ["invoice_item_id"]
 
@@ -340,8 +344,10 @@ def build_detail(
 ) -> DataFrame:
     """The wide table with the intermediate columns it is computed from.
 
-    `ids` (one column `sale_order_id`, distinct) limits it to some orders; `columns` limits
-    it to some columns and leaves out the joins only the others need.
+    `ids` (one column `sale_order_id`, distinct) limits it to some orders. Each large table
+    is then reduced to those orders before it is shuffled; the ids of their items and invoice
+    items are computed once, as tables in the shared folder. `columns` limits the result to
+    some columns and leaves out the joins only the others need.
     """
     wide = wide_schema()
     wanted = list(columns) if columns is not None else wide.names + DETAIL_COLUMNS
@@ -357,6 +363,7 @@ def build_detail(
         scope = _within(eligible_items(tables, settings), ids, "sale_order_id").select(
             F.col("id").alias("sale_order_item_id")
         )
+        scope = keep(scope, "order_items")
     rows = order_items(tables, settings, ids, needs)
     if needs("totals"):
         rows = rows.join(item_totals(tables, scope), "sale_order_item_id", "left")
