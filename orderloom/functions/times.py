@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,3 +32,8 @@ def plus_days(when: Column, days: Column) -> Column:
 def changed_after(column: Column, since: datetime) -> Column:
     """True when the row is newer; NULL, which filters drop, when it has no time."""
     return column > moment(since)
+
+
+def changed_in(columns: tuple[str, ...], since: datetime) -> Column:
+    """True when any of the times is newer."""
+    return reduce(lambda a, b: a | b, [changed_after(F.col(c), since) for c in columns])

@@ -81,10 +81,12 @@ def shipment_tat(
             "packed_2_delivered_tat_seconds"
         ),
     ]
+    if ids is not None:
+        logs = logs.join(
+            shipments.select(F.col("id").alias("shipment_id")), "shipment_id", "left_semi"
+        )
     if changes is None:
         keys = shipments.select(F.col("id").alias("shipment_id"), "sale_order_id")
-        if ids is not None:
-            logs = logs.join(keys, "shipment_id", "left_semi")
         spanned = logs.groupBy("shipment_id").agg(*spans)
         spanned = spanned.filter("packed_at is not null and delivered_at is not null")
         return keys.join(spanned, "shipment_id").groupBy("sale_order_id").agg(*measures)
