@@ -5,11 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from handmade import add_invoice, add_item, add_line, add_order, make_tables
-from orderloom import Settings
-from orderloom.plans.wide import build_wide
-from orderloom.schemas import wide_columns
+from orderloom.schemas import wide_columns, wide_schema
 from orderloom.sources import store as store_module
 from orderloom.sources.store import WideStore
 from orderloom.streaming.sync import run
@@ -17,19 +16,26 @@ from orderloom.streaming.sync import run
 DAY1, DAY2, DAY3 = (datetime(2023, 6, d) for d in (1, 2, 3))
 
 
-def source(spark, orders):
-    """`orders`: id -> (state, quantity, created)."""
-    rows = {}
-    for n, (state, quantity, created) in orders.items():
-        add_order(rows, n, state=state, created=created.isoformat(sep=" "), billing_address="bad")
-        add_item(rows, n, n, quantity=quantity, created_at=created, updated_at=created)
-        add_invoice(rows, n)
-        add_line(rows, n, n, n, 1)
-    return make_tables(spark, rows)
+def wide_rows(spark, quantities):
+    """Wide rows with order ids and quantities; the other columns are NULL."""
+    columns = [
+        F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("sale_order_id", "quantity")
+        else F.col(f.name)
+        for f in wide_schema()
+    ]
+    rows = [(i, q) for i, qs in quantities.items() for q in qs]
+    return spark.createDataFrame(rows, "sale_order_id long, quantity int").select(*columns)
+
+
+def order_ids(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "sale_order_id long")
 
 
 def content(store):
-    return {r["sale_order_id"]: int(r["quantity"]) for r in store.read().collect()}
+    found = {}
+    for row in store.read().collect():
+        found.setdefault(row["sale_order_id"], []).append(int(row["quantity"]))
+    return {i: sorted(qs) for i, qs in found.items()}
 
 
 @pytest.fixture
@@ -43,66 +49,76 @@ def test_empty_store(store):
     assert store.read().count() == 0
 
 
+def test_replace(spark, store):
+    first = {1: [5, 6], 2: [7], 31: [8], -3: [9]}
+    store.replace(order_ids(spark, *first), wide_rows(spark, first), DAY1, "a")
+    assert content(store) == first and store.mark() == DAY1
+    # Order 1 gets fewer rows, 2 none, 45 is new; 31 and its range are not touched.
+    store.replace(order_ids(spark, 1, 2, 45), wide_rows(spark, {1: [50], 45: [1]}), DAY2, "b")
+    assert content(store) == {1: [50], 31: [8], -3: [9], 45: [1]} and store.mark() == DAY2
+    untouched = [f for f in store.read().inputFiles() if "run=a" in f]
+    assert len(untouched) >= 2
+    # A range that becomes empty leaves nothing behind.
+    store.replace(order_ids(spark, 31), wide_rows(spark, {}), DAY3, "c")
+    assert content(store) == {1: [50], -3: [9], 45: [1]}
+    store.replace(order_ids(spark, 1, -3, 45), wide_rows(spark, {}), DAY3, "d")
+    assert content(store) == {}
+    store.advance(DAY1, "e")
+    assert store.mark() == DAY1 and content(store) == {}
+
+
+def test_failure_leaves_everything(spark, store, monkeypatch):
+    store.replace(order_ids(spark, 1), wide_rows(spark, {1: [5]}), DAY1, "a")
+    with monkeypatch.context() as m:
+        m.setattr(store_module, "_COMMIT_SCHEMA", "broken")
+        with pytest.raises(Exception):
+            store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
+    assert content(store) == {1: [5]} and store.mark() == DAY1
+    for _ in range(2):  # the second time it has been committed already
+        store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
+        assert content(store) == {1: [6]} and store.mark() == DAY2
+    assert store._latest()[0]["version"] == 2
+
+
+def test_pruning(spark, store):
+    """Reading some columns of the stored table reads only those from the files."""
+    store.replace(order_ids(spark, 1), wide_rows(spark, {1: [5]}), DAY1, "a")
+    plan = store.read().filter("order_state = 'COMPLETED'").select("ii_quantity")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<order_state:string,ii_quantity:decimal(18,2)>" in text
+    assert "EqualTo(order_state,COMPLETED)" in text
+
+
+def source(spark, orders):
+    """`orders`: id -> (state, quantity, created)."""
+    rows = {}
+    for n, (state, quantity, created) in orders.items():
+        add_order(rows, n, state=state, created=created.isoformat(sep=" "), billing_address="bad")
+        add_item(rows, n, n, quantity=quantity, created_at=created, updated_at=created)
+        add_invoice(rows, n)
+        add_line(rows, n, n, n, 1)
+    return make_tables(spark, rows)
+
+
 def test_runs(spark, store):
-    before = datetime(2023, 5, 1)
+    before, later = datetime(2023, 5, 1), datetime(2023, 6, 2, 5)
     first = source(spark, {1: ("COMPLETED", 5, before), 2: ("COMPLETED", 6, before), 31: ("COMPLETED", 7, before)})
     done = run(first, store, now=DAY1)
     assert (done.orders, done.rejected_addresses) == (3, 3)
-    assert content(store) == {1: 5, 2: 6, 31: 7}
+    assert content(store) == {1: [5], 2: [6], 31: [7]}
     assert store.mark() == DAY1
     assert {r["fetch_date"] for r in store.read().collect()} == {DAY1}
 
     # Nothing new: the mark moves, the table stays.
-    done = run(first, store, now=DAY2)
-    assert done.orders == 0
-    assert content(store) == {1: 5, 2: 6, 31: 7}
+    assert run(first, store, now=DAY2).orders == 0
+    assert content(store) == {1: [5], 2: [6], 31: [7]}
     assert store.mark() == DAY2
 
     # A new order, and a changed one that is recent.
-    later = datetime(2023, 6, 2, 5)
     second = source(spark, {
         1: ("COMPLETED", 50, before), 2: ("COMPLETED", 60, later), 31: ("COMPLETED", 70, before),
         4: ("COMPLETED", 8, later), 45: ("CREATED", 9, later),
     })
-    done = run(second, store, now=DAY3)
-    assert done.orders == 2
+    assert run(second, store, now=DAY3).orders == 2
     # Old orders are not found again in compat mode.
-    assert content(store) == {1: 5, 2: 60, 31: 7, 4: 8}
-
-
-def test_order_that_leaves(spark, store):
-    before, later = datetime(2023, 5, 1), datetime(2023, 6, 1, 5)
-    settings = Settings(compat=False)
-    run(source(spark, {1: ("COMPLETED", 5, before), 31: ("COMPLETED", 7, before)}), store, settings, DAY1)
-    run(source(spark, {1: ("COMPLETED", 5, before), 31: ("CREATED", 7, later)}), store, settings, DAY2)
-    assert content(store) == {1: 5}  # its range of ids is empty now
-    run(source(spark, {1: ("CREATED", 5, datetime(2023, 6, 2, 5))}), store, settings, DAY3)
-    assert content(store) == {}
-
-
-def test_failure_leaves_everything(spark, store, monkeypatch):
-    before, later = datetime(2023, 5, 1), datetime(2023, 6, 1, 5)
-    run(source(spark, {1: ("COMPLETED", 5, before)}), store, now=DAY1)
-    new = source(spark, {1: ("COMPLETED", 9, later)})
-    with monkeypatch.context() as m:
-        m.setattr(store_module, "_COMMIT_SCHEMA", "broken")
-        with pytest.raises(Exception):
-            run(new, store, now=DAY2)
-    assert content(store) == {1: 5}
-    assert store.mark() == DAY1
-    run(new, store, now=DAY2)
-    assert content(store) == {1: 9}
-    # Repeating a run that was committed does nothing.
-    columns = wide_columns()
-    ids = spark.createDataFrame([(1,)], "sale_order_id long")
-    store.replace(ids, build_wide(new, ids, columns=columns).limit(0), DAY2, DAY2.strftime("%Y%m%dT%H%M%S%f"))
-    assert content(store) == {1: 9}
-
-
-def test_pruning(spark, store):
-    """Reading some columns of the stored table reads only those from the files."""
-    run(source(spark, {1: ("COMPLETED", 5, datetime(2023, 5, 1))}), store, now=DAY1)
-    plan = store.read().filter("order_state = 'COMPLETED'").select("ii_quantity")
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<order_state:string,ii_quantity:decimal(18,2)>" in text
-    assert "EqualTo(order_state,COMPLETED)" in text
+    assert content(store) == {1: [5], 2: [60], 31: [7], 4: [8]}
