@@ -275,7 +275,7 @@ def invoices_per_order(tables: Tables, settings: Settings = Settings()) -> DataF
 def order_items(
     tables: Tables, settings: Settings = Settings(), ids: DataFrame | None = None, needs=None
 ) -> DataFrame:
-    """Eligible items with their product attributes and order header."""
+    """Eligible items with their product attributes."""
     needs = needs or (lambda group: True)
     anyhow = settings.ignore_case
     is_customized = ends_with(F.col("saleable_type"), CUSTOMIZED_BOOK, anyhow)
@@ -295,12 +295,11 @@ def order_items(
         ids,
         "sale_order_id",
     )
-    hot = hot_keys(
-        items, "sale_order_id", "saleable_id", "itemParentable_id",
-        min_bytes=settings.hot_min_bytes,
-    )
     row = ["sale_order_item_id"]
     if needs("products"):
+        hot = hot_keys(
+            items, "saleable_id", "itemParentable_id", min_bytes=settings.hot_min_bytes
+        )
         items = attach(items, dimensions.saleables(tables), "saleable_id", hot["saleable_id"], row)
         # Books only apply to customised items; edition products apply to any item whose
         # product id matches.
@@ -325,8 +324,7 @@ def order_items(
                 .when(is_book, F.col("book_abbr")),
             ).drop("standard_abbr")
         items = items.drop("is_book", "book_title", "book_abbr", "catalog_title")
-    headers = order_headers(tables, settings, ids, needs)
-    return attach(items, headers, "sale_order_id", hot["sale_order_id"], row, "inner")
+    return items
 
 
 def _day_list(array: str, field: str) -> Column:
@@ -364,15 +362,21 @@ def build_detail(
             F.col("id").alias("sale_order_item_id")
         )
         scope = keep(scope, "order_items")
+    small = settings.hot_min_bytes
     rows = order_items(tables, settings, ids, needs)
+    order_keys = hot_keys(rows.select("sale_order_id"), "sale_order_id", min_bytes=small)
     if needs("totals"):
         rows = rows.join(item_totals(tables, scope), "sale_order_item_id", "left")
     lines = invoice_lines(tables, settings, scope, needs)
-    hot = hot_keys(
-        tables["invoice_items"].select("sale_order_item_id"), "sale_order_item_id",
-        min_bytes=settings.hot_min_bytes,
-    )["sale_order_item_id"]
-    rows = expand(rows, lines, "sale_order_item_id", hot, ["invoice_item_id"])
+    item_keys = hot_keys(
+        tables["invoice_items"].select("sale_order_item_id"), "sale_order_item_id", min_bytes=small
+    )
+    row = ["sale_order_item_id", "invoice_item_id"]
+    rows = expand(rows, lines, "sale_order_item_id", item_keys["sale_order_item_id"], row[1:])
+    # The order attributes come last, so that they and the repeats they bring are only
+    # shuffled at order grain.
+    headers = order_headers(tables, settings, ids, needs)
+    rows = attach(rows, headers, "sale_order_id", order_keys["sale_order_id"], row, "inner")
     types = {f.name: f.dataType.simpleString() for f in wide}
     typed = [f"cast({c} as {types[c]}) as {c}" if c in types else c for c in wanted]
     return _finish(rows, settings, needs).selectExpr(*typed)
