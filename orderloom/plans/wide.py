@@ -146,7 +146,7 @@ def order_headers(
     if needs("order_tat"):
         orders = orders.join(tat.order_tat(tables, settings, ids), "sale_order_id", "left")
     if needs("invoice_counts") and not settings.compat:
-        orders = orders.join(invoices_per_order(tables, settings), "sale_order_id", "left")
+        orders = orders.join(invoices_per_order(tables, settings, ids), "sale_order_id", "left")
 
     payment_terms = _within(
         tables["sale_order_payment_terms"].select("sale_order_id", "payment_term"),
@@ -250,9 +250,11 @@ def item_totals(tables: Tables, items: DataFrame | None = None) -> DataFrame:
     return lines.groupBy("sale_order_item_id").agg(F.sum(quantity).alias("item_quantity"))
 
 
-def invoices_per_order(tables: Tables, settings: Settings = Settings()) -> DataFrame:
+def invoices_per_order(
+    tables: Tables, settings: Settings = Settings(), ids: DataFrame | None = None
+) -> DataFrame:
     """Number of different invoices per order, over eligible items."""
-    items = eligible_items(tables, settings).select(
+    items = _within(eligible_items(tables, settings), ids, "sale_order_id").select(
         F.col("id").alias("sale_order_item_id"), "sale_order_id"
     )
     lines = tables["invoice_items"].select(
@@ -364,7 +366,10 @@ def build_detail(
         scope = keep(scope, "order_items")
     small = settings.hot_min_bytes
     rows = order_items(tables, settings, ids, needs)
-    order_keys = hot_keys(rows.select("sale_order_id"), "sale_order_id", min_bytes=small)
+    sold = _within(
+        eligible_items(tables, settings).select("sale_order_id"), ids, "sale_order_id"
+    )
+    order_keys = hot_keys(sold, "sale_order_id", min_bytes=small)
     if needs("totals"):
         rows = rows.join(item_totals(tables, scope), "sale_order_item_id", "left")
     lines = invoice_lines(tables, settings, scope, needs)

@@ -81,16 +81,15 @@ def from_jdbc(spark: SparkSession, url: str, partitions: int = 1, **options: str
     the database, so that every task reads one range over its own connection.
     """
 
-    def scan(table: str, bounds: tuple[int, int] | None = None) -> DataFrame:
-        settings = jdbc_options(url, table, partitions, bounds, **options)
-        return spark.read.format("jdbc").options(**settings).load()
-
     def read(table: str) -> DataFrame:
-        if partitions == 1:
-            return scan(table)
-        key = struct(SOURCE_TABLES[table]).names[0]
-        low, high = scan(table).agg(F.min(key), F.max(key)).first()
-        return scan(table, (int(low), int(high)) if low is not None else None)
+        bounds = None
+        if partitions > 1:
+            key = struct(SOURCE_TABLES[table]).names[0]
+            asked = jdbc_options(url, f"(select min({key}) as low, max({key}) as high from {table}) b", **options)
+            low, high = spark.read.format("jdbc").options(**asked).load().first()
+            bounds = (int(low), int(high)) if low is not None else None
+        scan = jdbc_options(url, table, partitions, bounds, **options)
+        return spark.read.format("jdbc").options(**scan).load()
 
     return Tables(read)
 

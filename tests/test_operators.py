@@ -212,6 +212,11 @@ def test_figures(spark):
     assert tuple(kpis.average_ticket_size(wide).first()) == pytest.approx((250 / 3, 35 / 3))
     assert kpis.average_discount(wide).first()[0] == 15
     assert kpis.cc_share(wide).first()[0] == 25
+    kpis.report_view(wide)
+    shown = spark.sql("""select sum(case when invoice_prefix = "CC" then total_ii_quanity end) * 100
+        / sum(total_ii_quanity), max(final_invoice_total_with_tax)
+        from regular_orders where order_state <> "CANCELLED" """)
+    assert tuple(shown.first()) == (25, 200)
     assert kpis.cc_share(wide.filter("ii_quantity = 0")).first()[0] is None
     assert kpis.average_discount(wide.limit(0)).first()[0] is None
 
