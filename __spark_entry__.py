@@ -197,12 +197,30 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["wide_build"](spark, "/root/testdata/sf0.001")
 
 
+def text_queries() -> tuple[dict, dict]:
+    """Queries and SQL of the text operators and their pipeline, if these are installed."""
+    try:
+        import corpus_pipeline
+        from orderloom.llm import registry
+    except ImportError as error:
+        missing = (error.name or "").split(".")
+        if missing[0] != "corpus_pipeline" and missing[:2] != ["orderloom", "llm"]:
+            raise
+        return {}, {}
+    found = {**registry.QUERIES, "pipeline": corpus_pipeline.run}
+    sql = dict(registry.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def registered(query: Callable[[Tables], DataFrame]):
         return lambda spark, root: portable(query(order_tables(spark, root)))
 
-    return {name: registered(query) for name, query in QUERIES.items()}
+    return {name: registered(query) for name, query in QUERIES.items()} | text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracles.with_tables(sql) for name, sql in oracles.RESULTS.items()}
+    own = {name: oracles.with_tables(sql) for name, sql in oracles.RESULTS.items()}
+    return own | text_queries()[1]
