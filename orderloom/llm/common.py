@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +17,24 @@ from pyspark.sql import types as T
 SLICE_CHARS = 4_000_000
 
 
+PACKAGE = Path(__file__).resolve().parent.parent
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, unless their path has it already."""
+    context, home = spark.sparkContext, PACKAGE.parent
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if any(p and Path(p).resolve() == home for p in paths) or getattr(context, "_ships", "") == str(home):
+        return
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(), PACKAGE.name), "zip", home, PACKAGE.name
+    )
+    context.addPyFile(archive)
+    context._ships = str(home)
+
+
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{root}/{table}.parquet")
 
 
@@ -100,3 +121,15 @@ def training_texts(
     )
     rows.sort(key=lambda r: r["doc_id"])
     return [(int(r["label"]), r["text"]) for r in rows], share
+
+
+# Fixed value: the bytes of words are 0-9, a-z (A-Z in lower case) and all from 0x80 on.
+WORD_BYTES = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+    for b in range(256)
+)
+
+
+def plain_words(text: str) -> list[bytes]:
+    """Words of ASCII letters, in lower case, digits, and all code points from 0x80 on."""
+    return text.encode().translate(WORD_BYTES).split()

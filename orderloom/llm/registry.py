@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, packing, simhash, topk, toxicity
+from orderloom.llm import bpe, imatch, licenses, packing, secrets, simhash, suffixes, topk, toxicity
 from orderloom.llm.common import read
 
 
@@ -21,6 +21,18 @@ def op1_topk(spark: SparkSession, root: str) -> DataFrame:
     return topk.top_k(read(spark, root, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op2_imatch(spark: SparkSession, root: str) -> DataFrame:
+    return imatch.edit_digests(read(spark, root, "documents"))
+
+
+def op3_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return suffixes.removal_digests(read(spark, root, "documents"))
+
+
+def op4_secrets(spark: SparkSession, root: str) -> DataFrame:
+    return secrets.span_digests(read(spark, root, "documents"))
+
+
 def op5_packing(spark: SparkSession, root: str) -> DataFrame:
     return piece_digests(read(spark, root, "documents"))
 
@@ -38,6 +50,10 @@ def piece_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, root: str) -> DataFrame:
+    return licenses.labels(read(spark, root, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.classify(read(spark, root, "documents"), read(spark, root, "labels"))
 
@@ -54,7 +70,11 @@ def op10_simhash(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op2_imatch": op2_imatch,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
+    "op6_licenses": op6_licenses,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
