@@ -3,7 +3,7 @@
 The automaton reads tokens and accepts just the token sequences that the merges produce. At
 first it has one state that reads every byte and returns to itself. Merge (u, v) -> w adds to
 every state that reads u an arc on w to where v leads, and sends all arcs on u to a copy of
-their target that no longer reads v. So each token has one target state at a time, each merge
+their target that no longer reads v. (A merge whose parts never meet changes nothing.) So each token has one target state at a time, each merge
 makes one copy, and a state is stored as (what it copies, what it no longer reads, when).
 
 A word's encoding is the one path through the automaton whose labels spell the word. It is
@@ -63,8 +63,9 @@ class Automaton:
         self.compile_prefixes()
 
     def gadget(self, now: int, u: int, v: int, w: int) -> None:
-        if u not in self.target or v not in self.target:
-            raise ValueError("a merge comes before those that make its parts")
+        """Nothing changes if no path has u before v: earlier merges take one of them away."""
+        if u not in self.target or v not in self.target or not self.reads(self.target[u], v):
+            return
         middle = self.target[u]
         self.target[w], self.time[w], self.first[w] = self.target[v], now, u
         self.copied.append(middle)
@@ -91,8 +92,8 @@ class Automaton:
         """
         self.step: dict[int, int] = {}
         self.token = [-1]
-        for i, label in self.label.items():
-            node = 0
+        for i in self.target:
+            node, label = 0, self.label[i]
             for byte in label:
                 key = node << 8 | byte
                 if key not in self.step:
@@ -101,9 +102,9 @@ class Automaton:
                 node = self.step[key]
             self.token[node] = i
         self.shorter = {}
-        for i, label in self.label.items():
+        for i in self.target:
             node, last = 0, -1
-            for byte in label[:-1]:
+            for byte in self.label[i][:-1]:
                 node = self.step[node << 8 | byte]
                 last = self.token[node] if self.token[node] >= 0 else last
             self.shorter[i] = last
