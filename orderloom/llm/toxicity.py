@@ -70,7 +70,7 @@ def features(text: str, seen: np.ndarray) -> np.ndarray:
 def fit(
     sample: list[tuple[int, str]],
     share: float,
-    top: int = 4000,
+    top: int = 2000,
     min_docs: int = 3,
     decay: float = 1e-4,
     steps: int = 200,
