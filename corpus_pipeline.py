@@ -8,9 +8,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from orderloom.llm import simhash, toxicity
+from orderloom.llm import secrets, simhash, suffixes, toxicity
 from orderloom.llm.common import read
 from orderloom.llm.registry import piece_digests
 from orderloom.sources.shared import keep
@@ -30,6 +29,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.one_of_each(docs)
 
 
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes or more that stand elsewhere too are cut out of the texts."""
+    return suffixes.remove_repeats(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked, unless so many owners have them that they are copied examples."""
+    return secrets.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each document and where they go."""
     return piece_digests(docs)
@@ -38,6 +47,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
+    ("suffix_dedup", cut_repeats),
+    ("secrets", redact_secrets),
     ("packing", pack),
 ]
 

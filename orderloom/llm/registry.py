@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, imatch, licenses, packing, secrets, simhash, suffixes, topk, toxicity
+from orderloom.llm import (
+    bpe,
+    imatch,
+    licenses,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    suffixes,
+    topk,
+    toxicity,
+)
 from orderloom.llm.common import read
 
 
@@ -54,6 +65,10 @@ def op6_licenses(spark: SparkSession, root: str) -> DataFrame:
     return licenses.labels(read(spark, root, "documents"))
 
 
+def op7_quality(spark: SparkSession, root: str) -> DataFrame:
+    return quality.classify(read(spark, root, "documents"), read(spark, root, "labels"))
+
+
 def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.classify(read(spark, root, "documents"), read(spark, root, "labels"))
 
@@ -75,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
     "op6_licenses": op6_licenses,
+    "op7_quality": op7_quality,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
