@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 import os
-import unicodedata
+import re
+from array import array
 
 import numpy as np
 import regex
 
-# Words whose ids a worker remembers; beyond that it starts afresh.
-CACHE_WORDS = 500_000
+from orderloom.llm.bpe import byte_signs
+
+# Strings whose ids a worker remembers; beyond that it starts afresh.
+CACHE_STRINGS = 700_000
+# Signs outside those known to be split, lower-cased and composed alike by all libraries.
+ODD = regex.compile("[^\x00-\x1b\x20-\x7f\xa0-\u012f\u0131-\u017f\u0410-\u044f\u2013-\u2026\u4e00-\u9fff]")
+# The end of a word before a comma or full stop: a word of the pattern always ends there.
+STOPS = re.compile(r"[.,](?<=[^\W_].)(?=\s)")
 
 
 class WordCoder:
     """Ids as the library's `encode(text, add_special_tokens=False)` gives them.
 
     For a vocabulary of words with word ends whose texts are put in NFC, lower-cased and split
-    into words without white space, a word's ids don't depend on its neighbours, so each distinct
-    word is given to the library once. Texts with special tokens, or with signs whose lower case
-    or class may differ between libraries, are given to it whole.
+    into words without white space, the ids of what stands between white space don't depend on
+    its neighbours, so each such string is given to the library once. Texts with special tokens,
+    or with signs whose lower case or class may differ between libraries, are given to it whole.
     """
 
     def __init__(self, path: str):
@@ -30,9 +37,8 @@ class WordCoder:
         self.library.no_padding()
         added = self.library.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
-        vocab = self.library.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        # The model reads each byte as a printable sign.
+        self.signs = {byte: sign for sign, byte in byte_signs().items()}
         # Fixed value: the pattern of the words.
         self.find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.known: dict[str, bytes] = {}
@@ -41,38 +47,34 @@ class WordCoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def plain(self, text: str) -> bool:
-        if text.isascii():
-            return not any(s in text for s in self.special)
-        astral = len(text.encode("utf-16-le")) != 2 * len(text)
-        return not (astral or "Σ" in text or "İ" in text) and not any(
-            s in text for s in self.special
+        return not any(s in text for s in self.special) and (
+            text.isascii() and text.isprintable() or not ODD.search(text)
         )
 
-    def learn(self, words: list[str]) -> None:
-        """Encode new words in one call; a word's last token is the one with a word end."""
-        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(words) and (not len(cuts) or cuts[-1] == len(ids)):
-            parts = np.split(ids, cuts[:-1])
-            self.known.update(zip(words, [p.tobytes() for p in parts]))
-        else:
-            for word in words:
-                self.known[word] = self.whole(word)
+    def learn(self, strings: set[str]) -> None:
+        """Have the library's model encode the words of new strings."""
+        tokenize, signs, known = self.library.model.tokenize, self.signs, self.known
+        for string in strings:
+            words = [string] if string.isalpha() else self.find.findall(string)
+            if not (string.isascii() and string.isprintable()):
+                words = [w.encode().decode("latin-1").translate(signs) for w in words]
+            ids = [token.id for word in words for token in tokenize(word)]
+            known[string] = array("I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not self.plain(text):
             return self.whole(text)
-        if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        words = self.find.findall(text.lower())
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
+        strings = STOPS.sub(r" \g<0>", text.lower()).split()
+        parts = list(map(self.known.get, strings))
+        if None in parts:
+            if len(self.known) > CACHE_STRINGS:
                 self.known.clear()
-                new = set(words)
-            self.learn(sorted(new))
-        return b"".join(map(self.known.__getitem__, words))
+            new = set(strings).difference(self.known)
+            if new:
+                self.learn(new)
+            parts = map(self.known.__getitem__, strings)
+        return b"".join(parts)
 
 
 CODERS: dict[str, WordCoder] = {}
