@@ -107,7 +107,8 @@ def search(
 def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     values = column.combine_chunks()
     values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
-    return values.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, width)
+    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return flat.reshape(len(values), width)
 
 
 def search_shard(vectors: pa.Table, queries: pa.Table, width: int, k: int) -> pa.Table:
@@ -183,7 +184,9 @@ def top_k(
             return search_shard(left, right, at[0].as_py(), k)
 
         left = vectors.select(*key, "vec_id", "v", "copies").groupBy(*key)
-        right = asked.select(*key, "vec_id", "v", "variant", "bound").groupBy(*key)
+        # Both sides come from one table: renaming gives this one columns of its own.
+        right = asked.select(*key, "vec_id", "v", "variant", "bound")
+        right = right.toDF(*right.columns).groupBy(*key)
         return left.cogroup(right).applyInArrow(one, schema)
 
     low = F.lit(float("-inf"))
