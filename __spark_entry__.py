@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,9 +21,12 @@ from orderloom.functions.matching import class_name  # noqa: E402
 from orderloom.operators import changes, dimensions, kpis, ledger, tat, terms  # noqa: E402
 from orderloom.operators.replace import replace_rows  # noqa: E402
 from orderloom.plans.wide import build_detail, build_wide  # noqa: E402
-from orderloom.sources.shared import keep  # noqa: E402
+from orderloom.schemas import conform  # noqa: E402
+from orderloom.sources.shared import keep, shared_folder  # noqa: E402
+from orderloom.sources.store import WideStore  # noqa: E402
 from orderloom.sources.tables import Tables  # noqa: E402
-from orderloom.sources.tpch import order_tables  # noqa: E402
+from orderloom.sources.tpch import order_tables, skewed  # noqa: E402
+from orderloom.streaming import sync  # noqa: E402
 
 # The test tables span 1995 to 2001, so the cut-off and the last run lie inside that.
 SINCE = datetime.fromisoformat(oracles.SINCE)
@@ -63,7 +67,8 @@ def wide_build(t: Tables) -> DataFrame:
 def wide_detail(t: Tables) -> DataFrame:
     columns = ROW + [
         "is_shipment", "payment_after_no_of_days", "delivery_date", "payment_commitment_date",
-        "is_installment", "installment_dates", "payment_dates", "address_rejected",
+        "is_installment", "installment_dates", "installment_amounts", "payment_dates",
+        "all_payments", "address_rejected",
         "packed_2_delivered_tat_seconds", "create_2_processing_tat_seconds",
         "processing_2_complete_tat_seconds",
     ]
@@ -124,7 +129,7 @@ def address_fields(t: Tables) -> DataFrame:
 def keyed_replace(t: Tables) -> DataFrame:
     """Replace the changed orders by new rows; changed orders that are cancelled have none."""
     current = t["sale_orders"].select(F.col("id").alias("sale_order_id"), "net_total", "state")
-    ids = changed(t)
+    ids = keep(changed(t), "changed_orders")
     new = current.join(ids, "sale_order_id", "left_semi").filter(F.col("state") != CANCELLED)
     result = replace_rows(
         current.withColumn("is_new", F.lit(0)), ids, new.withColumn("is_new", F.lit(1))
@@ -132,6 +137,63 @@ def keyed_replace(t: Tables) -> DataFrame:
     return result.drop("state")
 
 
+def wide_skewed(t: Tables) -> DataFrame:
+    """The wide table where one order, item and invoice hold a large part of the rows."""
+    columns = ROW + [
+        "sale_order_id", "invoice_id", "final_ii_quantity", "is_invoiced", "payment_score",
+        "delivery_date", "title_name", "customer_name",
+    ]
+    return rounded(build_detail(skewed(t), settings=SETTINGS, columns=columns), 4, "payment_score")
+
+
+def incremental_run(t: Tables) -> DataFrame:
+    """The stored table after a first and a second run of the job, and its mark."""
+    spark = t["sale_orders"].sparkSession
+    store = WideStore(spark, f"{shared_folder(spark)}/orderloom/wide-{uuid.uuid4().hex}", span=10_000)
+    for now in (SINCE, SETTINGS.fetched_at):
+        sync.run(t, store, now, Settings(tat_cutoff=SETTINGS.tat_cutoff))
+    store.vacuum(versions=1)
+    columns = ["sale_order_item_id", "invoice_item_id", "sale_order_id", "final_ii_quantity", "fetch_date"]
+    return store.read().select(*columns).withColumn("mark", F.lit(store.mark()).cast("timestamp_ntz"))
+
+
+def mode_totals_any_case(t: Tables) -> DataFrame:
+    """Modes, states and types in other letters, matched without regard to case."""
+    lowered = {
+        "payments": ["mode", "cr_dr_state"],
+        "ledger_transactions": ["state", "ledgerable_type"],
+    }
+
+    def load(name: str) -> DataFrame:
+        return t[name].withColumns({c: F.lower(c) for c in lowered.get(name, [])})
+
+    return ledger.mode_totals(Tables(load), Settings(ignore_case=True))
+
+
+def conformed_values(t: Tables) -> DataFrame:
+    """Unreadable texts and NaN become NULL when a table is given its types."""
+    raw = t["customers"].selectExpr(
+        "id",
+        "if(id % 7 = 0, 'no number', cast(id as string)) as read_id",
+        "if(id % 5 = 0, double('NaN'), id / 4) as balance",
+        "if(id % 3 = 0, 'no day', concat('1999-05-0', id % 3)) as day",
+    )
+    typed = conform(raw, "id long, read_id long, balance decimal(18,2), day date", "raw")
+    return typed
+
+
+def shipment_span(t: Tables) -> DataFrame:
+    """Spans with their place in ascending order, missing ones first."""
+    spans = tat.shipment_span(t, ordered=False)
+    # One row per number of days, so the window is small.
+    sizes = spans.groupBy("span_days").agg(F.count("*").alias("n"))
+    before = Window.orderBy(F.asc_nulls_first("span_days")).rowsBetween(Window.unboundedPreceding, -1)
+    places = sizes.select(
+        F.col("span_days").alias("days"), (F.coalesce(F.sum("n").over(before), F.lit(0)) + 1).alias("place")
+    )
+    return spans.join(places, F.col("span_days").eqNullSafe(F.col("days"))).drop("days")
+
+
 def average_ticket_size(t: Tables) -> DataFrame:
     wide = build_wide(t, settings=SETTINGS, columns=kpis.TICKET_COLUMNS)
     return rounded(
@@ -168,7 +230,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "order_tat": lambda t: tat.order_tat(t, SETTINGS),
     "shipment_changes": lambda t: changed_rows(tat.shipment_tat, t),
     "order_changes": lambda t: changed_rows(tat.order_tat, t),
-    "shipment_span": tat.shipment_span,
+    "shipment_span": shipment_span,
+    "payment_rows": lambda t: ledger.payment_lines(t, SETTINGS),
+    "installment_rows": terms.installments,
+    "mode_totals_any_case": mode_totals_any_case,
+    "conformed_values": conformed_values,
+    "wide_skewed": wide_skewed,
+    "changed_orders_by_branch": lambda t: changes.changed_orders_by_branch(t, SINCE, SETTINGS),
+    "incremental_run": incremental_run,
     "installments_by_order": terms.installment_due,
     "commitment_date": lambda t: build_detail(
         t, settings=SETTINGS, columns=ROW + ["payment_commitment_date"]

@@ -103,7 +103,10 @@ TABLES = {
     "shipments": r"""
         SELECT skey AS id, okey AS sale_order_id, min(shipped) AS created_at,
                max(shipped) AS updated_at
-        FROM li GROUP BY skey, okey""",
+        FROM li GROUP BY skey, okey
+        UNION ALL
+        SELECT o_orderkey * 10 + 7, o_orderkey, o_orderdate, o_orderdate
+        FROM orders WHERE o_orderkey % 50 = 0""",
     "shipment_logs": r"""
         SELECT skey AS shipment_id,
                CASE flag WHEN 'N' THEN 'PACKED' WHEN 'R' THEN 'DELIVERED' ELSE 'IN_TRANSIT' END AS state,
@@ -200,18 +203,24 @@ TABLES = {
         GROUP BY o.id HAVING days IS NOT NULL""",
     "plans": r"""
         SELECT p.sale_order_id, max(p.installment_date) AS last_date,
-               string_agg(p.installment_date::VARCHAR, ',' ORDER BY p.installment_date) AS dates
-        FROM (SELECT DISTINCT sale_order_id, installment_date FROM installments) p
+               string_agg(p.installment_date::VARCHAR, ',' ORDER BY p.installment_date) AS dates,
+               string_agg(p.amount::DECIMAL(18,2)::VARCHAR, ',' ORDER BY p.installment_date) AS amounts
+        FROM (SELECT sale_order_id, installment_date, sum(amount) AS amount FROM installments
+              GROUP BY sale_order_id, installment_date) p
         JOIN sale_orders o ON o.id = p.sale_order_id AND o.state <> 'CANCELLED'
         GROUP BY p.sale_order_id""",
     "pay_days": r"""
-        SELECT invoice_id, string_agg(paid_on::VARCHAR, ',' ORDER BY paid_on) AS payment_dates
-        FROM (SELECT DISTINCT invoice_id, paid_on FROM lines) GROUP BY invoice_id""",
+        SELECT invoice_id,
+               string_agg(coalesce(paid_on::VARCHAR, ''), ',' ORDER BY paid_on NULLS FIRST) AS payment_dates,
+               string_agg(amount::VARCHAR, ',' ORDER BY paid_on NULLS FIRST) AS all_payments
+        FROM (SELECT invoice_id, paid_on, sum(amount)::DECIMAL(18,2) AS amount FROM lines
+              GROUP BY invoice_id, paid_on) GROUP BY invoice_id""",
     "flat": r"""
         SELECT it.id AS item_id, it.*, o.id AS order_id, o.sale_order_date, o.net_total AS order_total,
                o.sales_channel, o.state AS order_state, o.is_shipment, o.contactable_type,
                o.contactable_id, o.branch_id, o.city, o.pincode, o.region, o.unreadable,
                pt.payment_term, ad.no_of_days, plans.last_date, plans.dates AS plan_dates,
+               plans.amounts AS plan_amounts,
                plans.sale_order_id IS NOT NULL AS has_plan,
                x.id AS x_id, coalesce(x.quantity, 0) AS x_quantity, x.is_bill AS x_is_bill,
                x.is_dc AS x_is_dc, inv.id AS invoice_id, inv.prefix, inv.is_bill AS invoice_is_bill,
@@ -221,7 +230,7 @@ TABLES = {
                     WHEN dl.delivered_at IS NOT NULL THEN dl.delivered_at + to_days(ad.no_of_days::INT)
                     ELSE inv.date + to_days(ad.no_of_days::INT) END AS committed,
                adv.advance_amount, modes.cash_amount, modes.cheque_amount, modes.online_amount,
-               pd.payment_dates, st.days AS ship_days, st.seconds AS ship_seconds, ot.days AS ord_days,
+               pd.payment_dates, pd.all_payments, st.days AS ship_days, st.seconds AS ship_seconds, ot.days AS ord_days,
                ot.seconds AS ord_seconds, ot.done_days, ot.done_seconds,
                pr.ref_code, pr.edition_name, pr.type_name, pr.sub_name,
                CASE WHEN bk.id IS NULL THEN pr.title ELSE bk.name END AS title_name,
@@ -313,7 +322,8 @@ _DETAIL = r"""
     is_shipment::BIGINT AS is_shipment, no_of_days::BIGINT AS payment_after_no_of_days,
     strftime(coalesce(delivered_at, invoice_date), '%Y-%m-%d %H:%M:%S') AS delivery_date,
     strftime(committed, '%Y-%m-%d %H:%M:%S') AS payment_commitment_date,
-    has_plan::BIGINT AS is_installment, plan_dates AS installment_dates, payment_dates,
+    has_plan::BIGINT AS is_installment, plan_dates AS installment_dates,
+    plan_amounts AS installment_amounts, payment_dates, all_payments,
     unreadable::BIGINT AS address_rejected,
     ship_seconds::BIGINT AS packed_2_delivered_tat_seconds,
     ord_seconds::BIGINT AS create_2_processing_tat_seconds,
@@ -352,10 +362,72 @@ CREATED_IDS = _changed("created_at", True, True, True, 1)
 UPDATED_IDS = _changed("updated_at", False, True, True, 1)
 CHANGED_IDS = f"{CREATED_IDS} UNION {UPDATED_IDS}"
 INTENDED_IDS = (
-    _changed("created_at", True, True, False, 0) + " UNION "
+    _changed("created_at", True, False, False, 0) + " UNION "
     + _changed("updated_at", False, False, False, 0)
 )
 
+
+def _branch(name: str, stamp: str) -> str:
+    """Ids changed for one reason alone, over the tables it needs."""
+    s = stamp[0]
+    lines = f"""JOIN invoice_items x ON x.sale_order_item_id = it.id
+         JOIN invoices inv ON inv.id = x.invoice_id JOIN lines ON lines.invoice_id = inv.id"""
+    joins, test = {
+        "order": ("", f"o.{stamp} > '{SINCE}'"),
+        "item": ("", f"it.{stamp} > '{SINCE}'"),
+        "invoice_item": (
+            "JOIN invoice_items x ON x.sale_order_item_id = it.id", f"x.{stamp} > '{SINCE}'"
+        ),
+        "invoice": (
+            """JOIN invoice_items x ON x.sale_order_item_id = it.id
+               JOIN invoices inv ON inv.id = x.invoice_id""",
+            f"inv.{stamp} > '{SINCE}'",
+        ),
+        "invoice_entry": (lines, f"deb_{s} > '{SINCE}'"),
+        "mapping": (lines, f"map_{s} > '{SINCE}'"),
+        "payment_entry": (lines, f"cre_{s} > '{SINCE}'"),
+        "payment": (lines, f"pay_{s} > '{SINCE}'"),
+        "order_log": ("JOIN ord_tat ot ON ot.sale_order_id = o.id", "ot.fresh > 1"),
+        "shipment_log": ("JOIN ship_tat st ON st.sale_order_id = o.id", "st.fresh > 1"),
+    }[name]
+    return rf"""
+        SELECT DISTINCT o.id AS sale_order_id, '{name}' AS branch, '{stamp}' AS stamp
+        FROM sale_orders o JOIN sale_order_items it ON it.sale_order_id = o.id {joins}
+        WHERE (it.saleable_type LIKE '%EditionProductType' OR it.saleable_type LIKE '%CustomizedBook')
+          AND {test}"""
+
+
+_BRANCHES = ["order", "item", "invoice_item", "invoice", "invoice_entry", "mapping", "payment_entry", "payment"]
+BRANCH_IDS = " UNION ALL ".join(
+    [_branch(b, s) for b in _BRANCHES for s in ("created_at", "updated_at")]
+    + [_branch(b, "created_at") for b in ("order_log", "shipment_log")]
+)
+
+# The same tables with one item, invoice and order that hold a large part of the rows, and
+# many lines without a shipment.
+TABLES |= {
+    "hot": r"""
+        SELECT min(it.id) AS item, min(o.id) AS order_id, min(inv.id) AS invoice
+        FROM sale_order_items it JOIN sale_orders o ON o.id = it.sale_order_id
+        JOIN invoice_items x ON x.sale_order_item_id = it.id JOIN invoices inv ON inv.id = x.invoice_id
+        WHERE it.saleable_type LIKE '%EditionProductType' AND o.state = 'COMPLETED'""",
+    "skewed_items": r"""
+        SELECT it.* REPLACE (CASE WHEN it.id % 4 = 1 THEN hot.order_id ELSE it.sale_order_id END AS sale_order_id)
+        FROM sale_order_items it CROSS JOIN hot""",
+    "skewed_lines": r"""
+        SELECT x.* REPLACE (
+            CASE WHEN x.id % 3 = 0 THEN hot.item ELSE x.sale_order_item_id END AS sale_order_item_id,
+            CASE WHEN x.id % 2 = 0 THEN hot.invoice ELSE x.invoice_id END AS invoice_id,
+            CASE WHEN x.id % 5 > 1 THEN x.shipment_item_id END AS shipment_item_id)
+        FROM invoice_items x CROSS JOIN hot""",
+}
+for _name in ("flat", "due", "scores", "scored"):
+    _sql = TABLES[_name].replace("FROM sale_order_items it", "FROM skewed_items it")
+    _sql = _sql.replace("JOIN invoice_items x", "JOIN skewed_lines x")
+    for _other in ("flat", "due", "scores"):
+        _sql = re.sub(rf"\b(FROM|JOIN) {_other}\b", rf"\1 skewed_{_other}", _sql)
+    TABLES[f"skewed_{_name}"] = _sql.replace("due.*", "skewed_due.*").replace("scores.score", "skewed_scores.score")
+
 RESULTS = {
     "wide_build": f"SELECT {_WIDE} FROM scored",
     "wide_detail": f"SELECT {_DETAIL} FROM flat",
@@ -384,9 +456,40 @@ RESULTS = {
         SELECT sale_order_id, fresh::BIGINT AS changed_rows FROM ship_tat""",
     "order_changes": "SELECT sale_order_id, fresh::BIGINT AS changed_rows FROM ord_tat",
     "shipment_span": """
-        SELECT s.id AS shipment_id,
-               (max(l.created_at)::DATE - min(l.created_at)::DATE)::BIGINT AS span_days
-        FROM shipments s LEFT JOIN shipment_logs l ON l.shipment_id = s.id GROUP BY s.id""",
+        SELECT *, rank() OVER (ORDER BY span_days NULLS FIRST) AS place
+        FROM (SELECT s.id AS shipment_id,
+                     (max(l.created_at)::DATE - min(l.created_at)::DATE)::BIGINT AS span_days
+              FROM shipments s LEFT JOIN shipment_logs l ON l.shipment_id = s.id GROUP BY s.id)""",
+    "payment_rows": """
+        SELECT invoice_id, strftime(paid_on, '%Y-%m-%d') AS paid_on, amount::DOUBLE AS amount, mode,
+               is_advance::BIGINT AS is_advance FROM lines""",
+    "installment_rows": """
+        SELECT sale_order_id, strftime(installment_date, '%Y-%m-%d') AS installment_date,
+               amount::DOUBLE AS amount FROM installments""",
+    "mode_totals_any_case": """
+        SELECT invoice_id, cash_amount::DOUBLE AS cash_amount,
+               cheque_amount::DOUBLE AS cheque_amount, online_amount::DOUBLE AS online_amount
+        FROM modes""",
+    "conformed_values": """
+        SELECT c_custkey AS id, CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS read_id,
+               CASE WHEN c_custkey % 5 <> 0 THEN c_custkey::DOUBLE / 4 END AS balance,
+               CASE WHEN c_custkey % 3 <> 0 THEN '1999-05-0' || c_custkey % 3 END AS day
+        FROM customer""",
+    "wide_skewed": r"""
+        SELECT item_id AS sale_order_item_id, x_id::BIGINT AS invoice_item_id, payment_term, rsm,
+               order_id AS sale_order_id, invoice_id::BIGINT AS invoice_id,
+               item_quantity::DOUBLE AS final_ii_quantity, (item_quantity > 0)::BIGINT AS is_invoiced,
+               round(payment_score::DOUBLE, 4) AS payment_score,
+               strftime(coalesce(delivered_at, invoice_date), '%Y-%m-%d %H:%M:%S') AS delivery_date,
+               title_name, customer_name
+        FROM skewed_scored""",
+    "changed_orders_by_branch": BRANCH_IDS,
+    "incremental_run": f"""
+        SELECT item_id AS sale_order_item_id, x_id::BIGINT AS invoice_item_id, order_id AS sale_order_id,
+               item_quantity::DOUBLE AS final_ii_quantity,
+               CASE WHEN order_id IN ({CHANGED_IDS}) THEN '{FETCHED_AT}' ELSE '{SINCE}' END AS fetch_date,
+               '{FETCHED_AT}' AS mark
+        FROM due""",
     "installments_by_order": """
         SELECT sale_order_id, strftime(max(installment_date), '%Y-%m-%d') AS installment_due,
                count(*)::BIGINT AS installments FROM installments GROUP BY sale_order_id""",

@@ -49,15 +49,6 @@ def customized_books(tables: Mapping[str, DataFrame]) -> DataFrame:
     return books.join(abbreviations, "meta_id", "left").drop("meta_id")
 
 
-def saleables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Edition products and customised books side by side, by `saleable_id`.
-
-    The two id spaces overlap. Which side applies depends on the item, so both are kept and
-    items need one join on `saleable_id` instead of two.
-    """
-    return edition_products(tables).join(customized_books(tables), "saleable_id", "full")
-
-
 def standard_meta(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _lookup(tables, "standard_meta_data", "itemParentable_id", standard_abbr="abbr")
 

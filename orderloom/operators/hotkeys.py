@@ -18,23 +18,15 @@ Hot = dict[Any, int]
 _SLICE, _SLICES = "_slice", "_slices"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of a frame; unknown counts as large."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return 2**63
-
-
-def hot_keys(df: DataFrame, *columns: str, min_bytes: int) -> dict[str, Hot]:
+def hot_keys(df: DataFrame, *columns: str) -> dict[str, Hot]:
     """For each column: keys with more rows than an average shuffle partition -> slices.
 
     NULL is a key like any other here, as outer joins shuffle NULL keys to one task. There
     can be no more such keys than shuffle partitions, which bounds the result. Counts come
-    from a mergeable sketch (`approx_top_k`); they only decide how finely a key is cut.
+    from a mergeable sketch (`approx_top_k`); they only decide how finely a key is cut. The
+    sketch tracks many more keys than can be hot; its limit of a million bounds its memory and
+    leaves no row out.
     """
-    if estimated_bytes(df) < min_bytes:
-        return {c: {} for c in columns}
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tracked = min(16 * partitions + 1024, 1_000_000)
     top = min(partitions, tracked)
@@ -53,6 +45,18 @@ def hot_keys(df: DataFrame, *columns: str, min_bytes: int) -> dict[str, Hot]:
     }
 
 
+def heavy_keys(weights: DataFrame, key: str, weight: str) -> Hot:
+    """Keys whose weight, one row per key, is over the fair share of a shuffle partition.
+
+    There can be no more such keys than shuffle partitions.
+    """
+    partitions = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = weights.orderBy(F.desc(weight)).limit(partitions).select(key, weight).collect()
+    total = weights.agg(F.sum(weight)).first()[0] or 0
+    fair = max(total / partitions, 1.0)
+    return {r[0]: min(math.ceil(r[1] / fair) + 1, partitions) for r in first if r[1] > fair}
+
+
 def _slices(df: DataFrame, key: str, hot: Hot) -> DataFrame:
     """Add the number of slices of the row's key: NULL unless it is hot."""
     spark = df.sparkSession

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +11,11 @@ from orderloom.constants import (
     CASH, CHEQUE, INVOICE, LEDGER_ACTIVE, ONLINE, PAYMENT, SETTLED_STATES,
 )
 from orderloom.functions.matching import ends_with, equals, one_of
-from orderloom.functions.times import changed_in
 from orderloom.operators.hotkeys import attach, hot_keys
 from orderloom.settings import Settings
 
 
-def _entries(tables: Mapping[str, DataFrame], kind: str, settings: Settings) -> DataFrame:
+def entries(tables: Mapping[str, DataFrame], kind: str, settings: Settings) -> DataFrame:
     """Active ledger entries of one kind of document."""
     anyhow = settings.ignore_case
     return tables["ledger_transactions"].filter(
@@ -26,25 +24,30 @@ def _entries(tables: Mapping[str, DataFrame], kind: str, settings: Settings) ->
     )
 
 
+def all_entries(tables: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
+    """Active ledger entries of invoices and payments."""
+    anyhow = settings.ignore_case
+    kind = F.col("ledgerable_type")
+    return tables["ledger_transactions"].filter(
+        equals(F.col("state"), LEDGER_ACTIVE, anyhow)
+        & (ends_with(kind, INVOICE, anyhow) | ends_with(kind, PAYMENT, anyhow))
+    )
+
+
 def payment_lines(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
-    invoice_ids: DataFrame | None = None,
-    mappings: DataFrame | None = None,
 ) -> DataFrame:
     """One row per settled payment mapped to an invoice.
 
-    Advances and payment modes both read this one chain of joins. `invoice_ids` (one column
-    `invoice_id`) limits the work to some invoices, `mappings` to some mapping rows.
+    Advances and payment modes both read this one chain of joins.
     """
-    debits = _entries(tables, INVOICE, settings).select(
+    debits = entries(tables, INVOICE, settings).select(
         F.col("id").alias("debit_id"),
         F.col("ledgerable_id").alias("invoice_id"),
         F.col("transaction_datetime").alias("invoiced_at"),
     )
-    if invoice_ids is not None:
-        debits = debits.join(invoice_ids, "invoice_id", "left_semi")
-    credits = _entries(tables, PAYMENT, settings).select(
+    credits = entries(tables, PAYMENT, settings).select(
         F.col("id").alias("credit_id"),
         F.col("ledgerable_id").alias("payment_id"),
         F.col("transaction_datetime").alias("credited_at"),
@@ -54,20 +57,8 @@ def payment_lines(
         .filter(one_of(F.col("cr_dr_state"), SETTLED_STATES, settings.ignore_case))
         .select(F.col("id").alias("payment_id"), "mode", F.col("transaction_date").alias("paid_on"))
     )
-    limited = invoice_ids is not None or mappings is not None
-    if mappings is None:
-        mappings = tables["credit_debit_mappings"]
-    mappings = mappings.select("debit_id", "credit_id", "amount")
-    if invoice_ids is not None:
-        mappings = mappings.join(debits.select("debit_id"), "debit_id", "left_semi")
-    if limited:
-        wanted = mappings.select("credit_id").distinct()
-        credits = credits.join(wanted, "credit_id", "left_semi")
-    small = settings.hot_min_bytes
-    hot = {
-        **hot_keys(credits, "payment_id", min_bytes=small),
-        **hot_keys(mappings, "debit_id", "credit_id", min_bytes=small),
-    }
+    mappings = tables["credit_debit_mappings"].select("debit_id", "credit_id", "amount")
+    hot = hot_keys(credits, "payment_id") | hot_keys(mappings, "debit_id", "credit_id")
     credits = attach(credits, payments, "payment_id", hot["payment_id"], ["credit_id"], "inner")
     row = ["debit_id", "credit_id", "amount"]
     lines = attach(mappings, debits, "debit_id", hot["debit_id"], row, "inner")
@@ -81,41 +72,6 @@ def payment_lines(
     )
 
 
-def changed_mappings(
-    tables: Mapping[str, DataFrame],
-    since: datetime,
-    stamps: tuple[str, ...],
-    settings: Settings = Settings(),
-) -> DataFrame:
-    """Mapping rows that changed, or whose ledger entries or payment did; some rows twice.
-
-    Each table is filtered by its own time in its own scan. The changed ids then select
-    mapping rows by semi joins, which need no shuffle of the mappings while the ids are few.
-    """
-    changed = changed_in(stamps, since)
-    mappings = tables["credit_debit_mappings"]
-    debits = _entries(tables, INVOICE, settings).filter(changed)
-    credits = _entries(tables, PAYMENT, settings)
-    paid = tables["payments"].filter(changed).select(F.col("id").alias("ledgerable_id"))
-    credit_ids = credits.filter(changed).select("id").union(
-        credits.join(paid, "ledgerable_id", "left_semi").select("id")
-    )
-    return (
-        mappings.filter(changed)
-        .select("debit_id", "credit_id", "amount")
-        .union(
-            mappings.select("debit_id", "credit_id", "amount").join(
-                debits.select(F.col("id").alias("debit_id")), "debit_id", "left_semi"
-            )
-        )
-        .unionByName(
-            mappings.select("debit_id", "credit_id", "amount").join(
-                credit_ids.select(F.col("id").alias("credit_id")), "credit_id", "left_semi"
-            )
-        )
-    )
-
-
 def daily_payments(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Payment lines summed per invoice and day; a missing day is a group of its own."""
 
@@ -136,14 +92,13 @@ def daily_payments(lines: DataFrame, settings: Settings = Settings()) -> DataFra
 def payments_by_invoice(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
-    invoice_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Per invoice: advances, totals by mode, and the payments as a list by day.
 
     A day's payments are summed before the list is built, so the list is no longer than
     there are days, however many payments an invoice has.
     """
-    daily = daily_payments(payment_lines(tables, settings, invoice_ids), settings)
+    daily = daily_payments(payment_lines(tables, settings), settings)
     listed = F.when(F.col("amount").isNotNull(), F.struct("paid_on", "amount"))
     return daily.groupBy("invoice_id").agg(
         F.sum("advance_amount").alias("advance_amount"),

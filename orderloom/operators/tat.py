@@ -55,7 +55,6 @@ def _product(prefix: str, names: list[str]) -> Column:
 def shipment_tat(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
-    ids: DataFrame | None = None,
     changes: tuple[datetime, str] | None = None,
 ) -> DataFrame:
     """Shortest time from packed to delivered among the shipments of an order.
@@ -66,8 +65,6 @@ def shipment_tat(
     is_packed = equals(F.col("state"), PACKED, settings.ignore_case)
     is_delivered = equals(F.col("state"), DELIVERED, settings.ignore_case)
     shipments = tables["shipments"].filter(F.col("created_at") > moment(settings.tat_cutoff))
-    if ids is not None:
-        shipments = shipments.join(ids, "sale_order_id", "left_semi")
     logs = tables["shipment_state_logs"].filter(is_packed | is_delivered)
     spans = [
         F.max(F.when(is_packed, F.col("created_at"))).alias("packed_at"),
@@ -81,10 +78,6 @@ def shipment_tat(
             "packed_2_delivered_tat_seconds"
         ),
     ]
-    if ids is not None:
-        logs = logs.join(
-            shipments.select(F.col("id").alias("shipment_id")), "shipment_id", "left_semi"
-        )
     if changes is None:
         keys = shipments.select(F.col("id").alias("shipment_id"), "sale_order_id")
         spanned = logs.groupBy("shipment_id").agg(*spans)
@@ -115,7 +108,6 @@ def shipment_tat(
 def order_tat(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
-    ids: DataFrame | None = None,
     changes: tuple[datetime, str] | None = None,
 ) -> DataFrame:
     """Shortest times from created to processing and from processing to completed."""
@@ -135,9 +127,6 @@ def order_tat(
     logs = tables["sale_order_state_logs"].filter(
         states["created"] | states["processing"] | states["completed"]
     )
-    if ids is not None:
-        orders = orders.join(ids, "sale_order_id", "left_semi")
-        logs = logs.join(ids, "sale_order_id", "left_semi")
 
     def at(name: str) -> Column:
         return F.when(states[name], F.col("created_at"))

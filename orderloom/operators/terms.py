@@ -27,26 +27,26 @@ def commitment_date(
     return F.when(on_delivery, delivered_at).otherwise(plus_days(start, days))
 
 
-def installment_due(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+def installment_due(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Last instalment date per order with instalments. Cancelled orders are left to the caller.
 
     An order whose instalment dates are all missing still has a row.
     """
-    plans = tables[INSTALLMENTS].filter(F.col("id").isNotNull())
-    if ids is not None:
-        plans = plans.join(ids, "sale_order_id", "left_semi")
-    return plans.groupBy("sale_order_id").agg(
+    return installments(tables).groupBy("sale_order_id").agg(
         F.max("installment_date").alias("installment_due"),
         F.count(F.lit(1)).alias("installments"),
     )
 
 
-def installment_lists(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
-    """Instalments per order as a list by day; amounts of one day are summed."""
+def installments(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per instalment of an order."""
     plans = tables[INSTALLMENTS].filter(F.col("id").isNotNull())
-    if ids is not None:
-        plans = plans.join(ids, "sale_order_id", "left_semi")
-    daily = plans.groupBy("sale_order_id", "installment_date").agg(
+    return plans.select("sale_order_id", "installment_date", "amount")
+
+
+def installment_lists(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Instalments per order as a list by day; amounts of one day are summed."""
+    daily = installments(tables).groupBy("sale_order_id", "installment_date").agg(
         F.sum("amount").alias("amount")
     )
     listed = F.struct("installment_date", "amount")

@@ -25,8 +25,9 @@ from orderloom.functions.matching import class_name, ends_with, equals
 from orderloom.functions.scoring import payment_score
 from orderloom.operators import dimensions, tat, terms
 from orderloom.operators.eligible import eligible_items, eligible_orders
-from orderloom.operators.hotkeys import attach, expand, hot_keys
+from orderloom.operators.hotkeys import attach, expand, heavy_keys, hot_keys
 from orderloom.operators.ledger import payments_by_invoice
+from orderloom.operators.restrict import restricted
 from orderloom.schemas import wide_schema
 from orderloom.settings import Settings
 from orderloom.sources.shared import keep
@@ -72,44 +73,39 @@ DETAIL_COLUMNS = [
 ]
 
 
-def _within(df: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:
-    return df if ids is None else df.join(ids, key, "left_semi")
-
-
-def _repeated(orders: DataFrame, many: DataFrame, count: str, counted: bool, hot: dict) -> DataFrame:
+def _repeated(orders: DataFrame, many: DataFrame, count: str, counted: bool) -> DataFrame:
     """Left join a table with any number of rows per order, adding that number if needed."""
     if counted:
         counts = many.groupBy("sale_order_id").agg(F.count(F.lit(1)).alias(count))
         orders = orders.join(counts, "sale_order_id", "left")
     else:
         orders = orders.withColumn(count, F.lit(None).cast("bigint"))
-    spread = [c for c in many.columns if c != "sale_order_id"]
-    return expand(orders, many, "sale_order_id", hot, spread)
+    # Equal rows get a number, so that a hot order's rows can be told apart and spread.
+    hot = hot_keys(many, "sale_order_id")["sale_order_id"]
+    columns = [c for c in many.columns if c != "sale_order_id"]
+    numbered = many.groupBy(*many.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))
+    ).drop("_n")
+    spread = [*columns, "_nth"]
+    return expand(orders, numbered, "sale_order_id", hot, spread).drop("_nth")
 
 
-def order_headers(
-    tables: Tables, settings: Settings = Settings(), ids: DataFrame | None = None, needs=None
-) -> DataFrame:
+def order_headers(tables: Tables, settings: Settings = Settings(), needs=None) -> DataFrame:
     """Order attributes; `repeats` is the number of rows the order has here."""
     needs = needs or (lambda group: True)
-    orders = _within(
-        eligible_orders(tables, settings).select(
-            F.col("id").alias("sale_order_id"),
-            F.col("sale_order_date").cast("timestamp_ntz").alias("sale_order_date"),
-            F.col("net_total").alias("sale_order_net_total"),
-            "sales_channel",
-            F.col("state").alias("order_state"),
-            "is_shipment",
-            "contactable_type",
-            "contactable_id",
-            "branch_id",
-            "billing_address",
-        ),
-        ids,
-        "sale_order_id",
+    orders = eligible_orders(tables, settings).select(
+        F.col("id").alias("sale_order_id"),
+        F.col("sale_order_date").cast("timestamp_ntz").alias("sale_order_date"),
+        F.col("net_total").alias("sale_order_net_total"),
+        "sales_channel",
+        F.col("state").alias("order_state"),
+        "is_shipment",
+        "contactable_type",
+        "contactable_id",
+        "branch_id",
+        "billing_address",
     )
-    small = settings.hot_min_bytes
-    hot = hot_keys(orders, "branch_id", "contactable_id", min_bytes=small)
+    hot = hot_keys(orders, "branch_id", "contactable_id")
     # The decoded address is a column of its own first, so that it is parsed once.
     orders = orders.withColumn("address", decode_address(F.col("billing_address")))
     orders = orders.withColumns(
@@ -132,7 +128,7 @@ def order_headers(
 
     # From here on everything is joined by order, on one shuffle of the orders.
     if needs("installments"):
-        due = terms.installment_due(tables, ids)
+        due = terms.installment_due(tables)
         open_plan = F.col("installments").isNotNull() & ~equals(
             F.col("order_state"), CANCELLED, settings.ignore_case
         )
@@ -140,95 +136,69 @@ def order_headers(
             "is_installment", F.when(open_plan, 1).otherwise(0)
         )
     if needs("plans"):
-        orders = orders.join(terms.installment_lists(tables, ids), "sale_order_id", "left")
+        orders = orders.join(terms.installment_lists(tables), "sale_order_id", "left")
     if needs("shipment_tat"):
-        orders = orders.join(tat.shipment_tat(tables, settings, ids), "sale_order_id", "left")
+        orders = orders.join(tat.shipment_tat(tables, settings), "sale_order_id", "left")
     if needs("order_tat"):
-        orders = orders.join(tat.order_tat(tables, settings, ids), "sale_order_id", "left")
+        orders = orders.join(tat.order_tat(tables, settings), "sale_order_id", "left")
     if needs("invoice_counts") and not settings.compat:
-        orders = orders.join(invoices_per_order(tables, settings, ids), "sale_order_id", "left")
+        orders = orders.join(invoices_per_order(tables, settings), "sale_order_id", "left")
 
-    payment_terms = _within(
-        tables["sale_order_payment_terms"].select("sale_order_id", "payment_term"),
-        ids, "sale_order_id",
-    )
-    after_days = _within(
-        tables["sale_order_payment_term_after_deliveries"].select(
-            "sale_order_id", F.col("no_of_days").alias("payment_after_no_of_days")
-        ),
-        ids, "sale_order_id",
+    payment_terms = tables["sale_order_payment_terms"].select("sale_order_id", "payment_term")
+    after_days = tables["sale_order_payment_term_after_deliveries"].select(
+        "sale_order_id", F.col("no_of_days").alias("payment_after_no_of_days")
     )
     counted = needs("totals")
     for many, count in ((payment_terms, "n_terms"), (after_days, "n_days")):
-        heavy = hot_keys(many, "sale_order_id", min_bytes=small)["sale_order_id"]
-        orders = _repeated(orders, many, count, counted, heavy)
+        orders = _repeated(orders, many, count, counted)
     repeats = F.lit(1)
     for count in ("n_terms", "n_days", "contacts"):
         repeats = repeats * F.coalesce(F.col(count), F.lit(1))
     return orders.withColumn("repeats", repeats).drop("n_terms", "n_days", "contacts")
 
 
+def line_keys(tables: Tables) -> dict:
+    """Hot keys of the invoice items, all found in one pass."""
+    return hot_keys(
+        tables["invoice_items"], "sale_order_item_id", "shipment_item_id", "invoice_id"
+    )
+
+
 def invoice_lines(
-    tables: Tables,
-    settings: Settings = Settings(),
-    items: DataFrame | None = None,
-    needs=None,
+    tables: Tables, settings: Settings = Settings(), hot: dict | None = None, needs=None
 ) -> DataFrame:
-    """Invoice items with their invoice, its payments and the first delivery.
-
-    `items` (one column `sale_order_item_id`) limits the work to some order items, down to
-    the shipments and ledger entries that are read for them.
-    """
+    """Invoice items with their invoice, its payments and the first delivery."""
     needs = needs or (lambda group: True)
-    small = settings.hot_min_bytes
-    lines = _within(
-        tables["invoice_items"].select(
-            "sale_order_item_id",
-            F.col("id").alias("invoice_item_id"),
-            "invoice_id",
-            "shipment_item_id",
-            F.col("quantity").alias("invoiced_quantity"),
-            F.col("is_bill").alias("invoice_item_is_bill"),
-            F.col("is_dc").alias("invoice_item_is_dc"),
-        ),
-        items,
+    hot = line_keys(tables) if hot is None else hot
+    lines = tables["invoice_items"].select(
         "sale_order_item_id",
+        F.col("id").alias("invoice_item_id"),
+        "invoice_id",
+        "shipment_item_id",
+        F.col("quantity").alias("invoiced_quantity"),
+        F.col("is_bill").alias("invoice_item_is_bill"),
+        F.col("is_dc").alias("invoice_item_is_dc"),
     )
-    if items is not None:
-        # Read several times below, to limit what is read of invoices, ledger and shipments.
-        lines = keep(lines, "invoice_lines")
-    hot = hot_keys(lines, "shipment_item_id", "invoice_id", min_bytes=small)
     row = ["invoice_item_id"]
-
-    invoice_ids = lines.select("invoice_id").distinct() if items is not None else None
-    invoices = _within(
-        tables["invoices"].select(
-            F.col("id").alias("invoice_id"),
-            F.col("id").alias("found_invoice_id"),
-            F.col("prefix").alias("invoice_prefix"),
-            F.col("is_bill").alias("invoice_is_bill"),
-            F.col("cr_dr_state").alias("invoice_cr_dr_state"),
-            F.col("state").alias("invoice_state"),
-            F.col("round_off").alias("invoice_round_off"),
-            F.col("date").cast("timestamp_ntz").alias("invoice_date"),
-            F.col("net_total").alias("invoice_net_total"),
-        ),
-        invoice_ids,
-        "invoice_id",
+    invoices = tables["invoices"].select(
+        F.col("id").alias("invoice_id"),
+        F.col("id").alias("found_invoice_id"),
+        F.col("prefix").alias("invoice_prefix"),
+        F.col("is_bill").alias("invoice_is_bill"),
+        F.col("cr_dr_state").alias("invoice_cr_dr_state"),
+        F.col("state").alias("invoice_state"),
+        F.col("round_off").alias("invoice_round_off"),
+        F.col("date").cast("timestamp_ntz").alias("invoice_date"),
+        F.col("net_total").alias("invoice_net_total"),
     )
     if needs("payments"):
-        paid = payments_by_invoice(tables, settings, invoice_ids)
-        invoices = invoices.join(paid, "invoice_id", "left")
+        invoices = invoices.join(payments_by_invoice(tables, settings), "invoice_id", "left")
 
     if needs("delivery"):
         shipped = tables["shipment_items"].select(
             F.col("id").alias("shipment_item_id"), "shipment_id"
         )
-        if items is not None:
-            shipped = shipped.join(
-                lines.select("shipment_item_id").distinct(), "shipment_item_id", "left_semi"
-            )
-        per_shipment = hot_keys(shipped, "shipment_id", min_bytes=small)["shipment_id"]
+        per_shipment = hot_keys(shipped, "shipment_id")["shipment_id"]
         shipped = attach(
             shipped, tat.first_delivery(tables, settings), "shipment_id",
             per_shipment, ["shipment_item_id"],
@@ -240,69 +210,76 @@ def invoice_lines(
     )
 
 
-def item_totals(tables: Tables, items: DataFrame | None = None) -> DataFrame:
-    """Invoiced quantity per order item."""
-    lines = _within(
-        tables["invoice_items"].select("sale_order_item_id", "quantity"),
-        items, "sale_order_item_id",
-    )
+def item_totals(tables: Tables) -> DataFrame:
+    """Invoiced quantity and number of invoice items per order item."""
     quantity = F.coalesce(F.col("quantity"), F.lit(0))
-    return lines.groupBy("sale_order_item_id").agg(F.sum(quantity).alias("item_quantity"))
+    return tables["invoice_items"].groupBy("sale_order_item_id").agg(
+        F.sum(quantity).alias("item_quantity"), F.count(F.lit(1)).alias("item_lines")
+    )
 
 
-def invoices_per_order(
-    tables: Tables, settings: Settings = Settings(), ids: DataFrame | None = None
-) -> DataFrame:
+def heavy_orders(tables: Tables, settings: Settings = Settings()) -> dict:
+    """Orders with many rows once their items are expanded by invoice items.
+
+    Counted, not expanded: the number of invoice items per item, summed by order.
+    """
+    items = eligible_items(tables, settings).select(
+        F.col("id").alias("sale_order_item_id"), "sale_order_id"
+    )
+    lines = item_totals(tables).select("sale_order_item_id", "item_lines")
+    weights = (
+        items.join(lines, "sale_order_item_id", "left")
+        .groupBy("sale_order_id")
+        .agg(F.sum(F.coalesce(F.col("item_lines"), F.lit(1))).alias("weight"))
+    )
+    return heavy_keys(keep(weights, "order_weights"), "sale_order_id", "weight")
+
+
+def invoices_per_order(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     """Number of different invoices per order, over eligible items."""
-    items = _within(eligible_items(tables, settings), ids, "sale_order_id").select(
+    items = eligible_items(tables, settings).select(
         F.col("id").alias("sale_order_item_id"), "sale_order_id"
     )
     lines = tables["invoice_items"].select(
         F.col("id").alias("invoice_item_id"), "sale_order_item_id", "invoice_id"
     )
-    hot = hot_keys(lines, "sale_order_item_id", min_bytes=settings.hot_min_bytes)
+    hot = hot_keys(lines, "sale_order_item_id", "invoice_id")
     per_item = attach(
         lines, items, "sale_order_item_id", hot["sale_order_item_id"], ["invoice_item_id"], "inner"
     )
-    # One row per pair first: the second step then has no large group to collect.
+    # One row per pair first: the second step then has no large group to collect. An invoice
+    # with many orders has many lines too, so the hot keys of the lines hold for the pairs.
     pairs = per_item.select("sale_order_id", "invoice_id").distinct()
     known = tables["invoices"].select(F.col("id").alias("invoice_id"))
     return (
-        pairs.join(known, "invoice_id")
+        attach(pairs, known, "invoice_id", hot["invoice_id"], ["sale_order_id"], "inner")
         .groupBy("sale_order_id")
         .agg(F.count(F.lit(1)).alias("order_invoices"))
     )
 
 
-def order_items(
-    tables: Tables, settings: Settings = Settings(), ids: DataFrame | None = None, needs=None
-) -> DataFrame:
+def order_items(tables: Tables, settings: Settings = Settings(), needs=None) -> DataFrame:
     """Eligible items with their product attributes."""
     needs = needs or (lambda group: True)
     anyhow = settings.ignore_case
     is_customized = ends_with(F.col("saleable_type"), CUSTOMIZED_BOOK, anyhow)
-    items = _within(
-        eligible_items(tables, settings).select(
-            F.col("id").alias("sale_order_item_id"),
-            "sale_order_id",
-            "itemParentable_type", "itemParentable_id", "saleable_type", "saleable_id",
-            F.col("discount_percentage").alias("sale_order_item_discount_percentage"),
-            F.col("mrp").alias("sale_order_item_mrp"),
-            "unit_price_with_tax", "unit_price_without_tax",
-            "cgst_tax_rate", "sgst_tax_rate", "igst_tax_rate",
-            "cgst_tax_amount", "sgst_tax_amount", "igst_tax_amount",
-            "is_dc", "quantity",
-            F.when(is_customized, 1).otherwise(0).alias("is_customized"),
-        ),
-        ids,
+    items = eligible_items(tables, settings).select(
+        F.col("id").alias("sale_order_item_id"),
         "sale_order_id",
+        "itemParentable_type", "itemParentable_id", "saleable_type", "saleable_id",
+        F.col("discount_percentage").alias("sale_order_item_discount_percentage"),
+        F.col("mrp").alias("sale_order_item_mrp"),
+        "unit_price_with_tax", "unit_price_without_tax",
+        "cgst_tax_rate", "sgst_tax_rate", "igst_tax_rate",
+        "cgst_tax_amount", "sgst_tax_amount", "igst_tax_amount",
+        "is_dc", "quantity",
+        F.when(is_customized, 1).otherwise(0).alias("is_customized"),
     )
     row = ["sale_order_item_id"]
     if needs("products"):
-        hot = hot_keys(
-            items, "saleable_id", "itemParentable_id", min_bytes=settings.hot_min_bytes
-        )
-        items = attach(items, dimensions.saleables(tables), "saleable_id", hot["saleable_id"], row)
+        hot = hot_keys(items, "saleable_id", "itemParentable_id")
+        for products in (dimensions.edition_products(tables), dimensions.customized_books(tables)):
+            items = attach(items, products, "saleable_id", hot["saleable_id"], row)
         # Books only apply to customised items; edition products apply to any item whose
         # product id matches.
         is_book = (F.col("is_customized") == 1) & F.coalesce(F.col("is_book"), F.lit(False))
@@ -329,11 +306,18 @@ def order_items(
     return items
 
 
-def _day_list(array: str, field: str) -> Column:
-    """One field of a list of structs, as comma-separated text; NULL if there is none."""
-    texts = F.transform(F.col(array), lambda e: e[field].cast("string"))
-    texts = F.filter(texts, lambda text: text.isNotNull())
-    return F.when(F.size(texts) > 0, F.array_join(texts, ","))
+def _lists(array: str, *fields: str) -> list[Column]:
+    """The fields of a list of structs, each as comma-separated text; NULL if it is empty.
+
+    All texts have one entry per struct, empty where the field is missing, so the n-th entries
+    belong together.
+    """
+
+    def text(field: str) -> Column:
+        values = F.transform(F.col(array), lambda e: F.coalesce(e[field].cast("string"), F.lit("")))
+        return F.when(F.size(values) > 0, F.array_join(values, ","))
+
+    return [text(field) for field in fields]
 
 
 def build_detail(
@@ -344,10 +328,9 @@ def build_detail(
 ) -> DataFrame:
     """The wide table with the intermediate columns it is computed from.
 
-    `ids` (one column `sale_order_id`, distinct) limits it to some orders. Each large table
-    is then reduced to those orders before it is shuffled; the ids of their items and invoice
-    items are computed once, as tables in the shared folder. `columns` limits the result to
-    some columns and leaves out the joins only the others need.
+    `ids` (one column `sale_order_id`, distinct) limits it to some orders: the source tables
+    are first reduced to these, see `restricted`. `columns` limits the result to some columns
+    and leaves out the joins only the others need.
     """
     wide = wide_schema()
     wanted = list(columns) if columns is not None else wide.names + DETAIL_COLUMNS
@@ -358,30 +341,22 @@ def build_detail(
     def needs(group: str) -> bool:
         return not _GROUPS[group].isdisjoint(wanted)
 
-    scope = None
     if ids is not None:
-        scope = _within(eligible_items(tables, settings), ids, "sale_order_id").select(
-            F.col("id").alias("sale_order_item_id")
-        )
-        scope = keep(scope, "order_items")
-    small = settings.hot_min_bytes
-    rows = order_items(tables, settings, ids, needs)
-    sold = _within(
-        eligible_items(tables, settings).select("sale_order_id"), ids, "sale_order_id"
-    )
-    order_keys = hot_keys(sold, "sale_order_id", min_bytes=small)
+        tables = restricted(tables, ids, settings)
+    rows = order_items(tables, settings, needs)
     if needs("totals"):
-        rows = rows.join(item_totals(tables, scope), "sale_order_item_id", "left")
-    lines = invoice_lines(tables, settings, scope, needs)
-    item_keys = hot_keys(
-        tables["invoice_items"].select("sale_order_item_id"), "sale_order_item_id", min_bytes=small
-    )
+        totals = item_totals(tables).drop("item_lines")
+        rows = rows.join(totals, "sale_order_item_id", "left")
+    hot = line_keys(tables)
+    lines = invoice_lines(tables, settings, hot, needs)
     row = ["sale_order_item_id", "invoice_item_id"]
-    rows = expand(rows, lines, "sale_order_item_id", item_keys["sale_order_item_id"], row[1:])
+    rows = expand(rows, lines, "sale_order_item_id", hot["sale_order_item_id"], row[1:])
     # The order attributes come last, so that they and the repeats they bring are only
     # shuffled at order grain.
-    headers = order_headers(tables, settings, ids, needs)
-    rows = attach(rows, headers, "sale_order_id", order_keys["sale_order_id"], row, "inner")
+    headers = order_headers(tables, settings, needs)
+    rows = attach(
+        rows, headers, "sale_order_id", heavy_orders(tables, settings), row, "inner"
+    )
     types = {f.name: f.dataType.simpleString() for f in wide}
     typed = [f"cast({c} as {types[c]}) as {c}" if c in types else c for c in wanted]
     return _finish(rows, settings, needs).selectExpr(*typed)
@@ -430,13 +405,11 @@ def _finish(rows: DataFrame, settings: Settings, needs) -> DataFrame:
             F.col("payments"), settings.ignore_case,
         )
     if needs("payments"):
-        new["all_payments"] = _day_list("payments", "amount")
-        new["payment_dates"] = _day_list("payments", "paid_on")
+        new["all_payments"], new["payment_dates"] = _lists("payments", "amount", "paid_on")
     if needs("plans"):
-        new["installment_dates"] = _day_list("installment_plan", "installment_date")
-        new["installment_amounts"] = _day_list("installment_plan", "amount")
-        for name in ("installment_dates", "installment_amounts"):
-            new[name] = F.when(F.col("is_installment") == 1, new[name])
+        texts = _lists("installment_plan", "installment_date", "amount")
+        for name, text in zip(("installment_dates", "installment_amounts"), texts):
+            new[name] = F.when(F.col("is_installment") == 1, text)
     return rows.withColumns(new)
 
 

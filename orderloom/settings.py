@@ -18,12 +18,9 @@ class Settings:
                    case-insensitive database collation does.
     tat_cutoff     turnaround times only cover orders and shipments created after this.
     fetched_at     load time stamped on every wide row; None means the query's own time.
-    hot_min_bytes  tables estimated below this are not searched for hot keys: no group
-                   can be larger than its table, and a table of this size fits one task.
     """
 
     compat: bool = True
     ignore_case: bool = False
     tat_cutoff: datetime = TAT_CUTOFF
     fetched_at: datetime | None = None
-    hot_min_bytes: int = 256 * 1024 * 1024

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder of the run in progress, if its intermediate tables are to be removed with it.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
@@ -31,6 +37,42 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     tells the optimizer the real size.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/orderloom/{uuid.uuid4().hex}/{name}"
+    folder = _RUN.get() or f"{shared_folder(spark)}/orderloom"
+    path = f"{folder}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what `keep` writes inside the block when the block ends.
+
+    Frames that read kept tables must have been computed by then.
+    """
+    folder = f"{shared_folder(spark)}/orderloom/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        delete(spark, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system Spark reads, if it is there."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if it isn't there."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(place)]

@@ -57,7 +57,7 @@ def from_catalog(spark: SparkSession, database: str | None = None) -> Tables:
 
 
 def jdbc_options(
-    url: str, table: str, partitions: int = 1, bounds: tuple[int, int] | None = None,
+    url: str, table: str, partitions: int, bounds: tuple[int, int] | None = None,
     **options: str,
 ) -> dict[str, str]:
     """Options of a JDBC scan. With bounds it is read in parallel, by ranges of the key."""
@@ -74,9 +74,10 @@ def jdbc_options(
     return result | options
 
 
-def from_jdbc(spark: SparkSession, url: str, partitions: int = 1, **options: str) -> Tables:
+def from_jdbc(spark: SparkSession, url: str, partitions: int, **options: str) -> Tables:
     """All source tables of one database; filters and columns are pushed to it.
 
+    `partitions` is the number of tasks, each with a connection of its own, that read a table.
     The range of each table's first column (its id, or the order it belongs to) is asked of
     the database, so that every task reads one range over its own connection.
     """
@@ -85,7 +86,7 @@ def from_jdbc(spark: SparkSession, url: str, partitions: int = 1, **options: str
         bounds = None
         if partitions > 1:
             key = struct(SOURCE_TABLES[table]).names[0]
-            asked = jdbc_options(url, f"(select min({key}) as low, max({key}) as high from {table}) b", **options)
+            asked = jdbc_options(url, f"(select min({key}) as low, max({key}) as high from {table}) b", 1, **options)
             low, high = spark.read.format("jdbc").options(**asked).load().first()
             bounds = (int(low), int(high)) if low is not None else None
         scan = jdbc_options(url, table, partitions, bounds, **options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.operators.hotkeys import attach, expand, hot_keys
+from orderloom.operators.hotkeys import attach, expand, heavy_keys, hot_keys
 
 ROWS = 4000
 
@@ -27,14 +27,16 @@ def same(a, b):
 
 
 def test_finds_hot_keys(facts):
-    found = hot_keys(facts, "key", "row", min_bytes=0)
+    found = hot_keys(facts, "key", "row")
     assert set(found["key"]) == {7, None}
     assert found["row"] == {}
     assert all(n >= 2 for n in found["key"].values())
 
 
-def test_small_tables_are_not_searched(facts):
-    assert hot_keys(facts, "key", min_bytes=2**40) == {"key": {}}
+def test_heavy_keys(spark):
+    weights = spark.sql("select id as key, if(id = 3, 1000, 1) as weight from range(100)")
+    assert set(heavy_keys(weights, "key", "weight")) == {3}
+    assert heavy_keys(weights.limit(0), "key", "weight") == {}
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -76,7 +78,7 @@ def test_slices_spread_a_hot_key(spark, facts, lookup):
             return sizes.agg(F.max("count")).first()[0]
 
         plain = largest(facts.join(lookup, "key", "left"))
-        hot = hot_keys(facts, "key", min_bytes=0)["key"]
+        hot = hot_keys(facts, "key")["key"]
         sliced = largest(attach(facts, lookup, "key", hot, ["row"]))
         assert plain >= ROWS / 3
         assert sliced < plain / 2

@@ -9,7 +9,9 @@ import pytest
 
 from handmade import BOOK, EDITION, CUSTOMER, STANDARD, add, add_invoice, add_item, add_line, add_order, add_payment, make_tables
 from orderloom import Settings
+from orderloom.operators import ledger
 from orderloom.operators.changes import changed_orders
+from orderloom.plans import wide
 from orderloom.plans.wide import build_detail
 
 NOW = datetime(2024, 1, 1)
@@ -66,18 +68,48 @@ def content(frame):
     return sorted(map(str, frame.collect()))
 
 
-def test_wide(spark, tables):
-    settings = dict(fetched_at=NOW, compat=False)
-    plain = content(build_detail(tables, settings=Settings(**settings)))
-    sliced = content(build_detail(tables, settings=Settings(hot_min_bytes=0, **settings)))
-    assert len(plain) > 2000
-    assert sliced == plain
+def plain(monkeypatch):
+    """The joins as they are without any hot key."""
+    for module, names in ((wide, ("hot_keys", "heavy_keys")), (ledger, ("hot_keys",))):
+        for name in names:
+            none = (lambda df, *columns: {c: {} for c in columns}) if name == "hot_keys" else lambda *a: {}
+            monkeypatch.setattr(module, name, none)
 
 
-def test_some_orders(spark, tables):
+def test_wide(spark, tables, monkeypatch):
+    settings = Settings(fetched_at=NOW, compat=False)
+    sliced = content(build_detail(tables, settings=settings))
+    assert len(sliced) > 2000
+    plain(monkeypatch)
+    assert sliced == content(build_detail(tables, settings=settings))
+
+
+def test_some_orders(spark, tables, monkeypatch):
     ids = changed_orders(tables, None).filter("sale_order_id < 30")
-    settings = Settings(fetched_at=NOW, hot_min_bytes=0)
+    settings = Settings(fetched_at=NOW)
     columns = ["sale_order_item_id", "invoice_item_id", "final_ii_quantity", "payment_score"]
     some = content(build_detail(tables, ids, settings, columns))
-    every = build_detail(tables, settings=Settings(fetched_at=NOW), columns=["sale_order_id", *columns])
+    plain(monkeypatch)
+    every = build_detail(tables, settings=settings, columns=["sale_order_id", *columns])
     assert some == content(every.filter("sale_order_id < 30").drop("sale_order_id"))
+
+
+def test_equal_terms_of_one_order_are_spread(spark):
+    """A thousand equal rows of a hot order end in several slices, and none is lost."""
+    many = spark.sql("select 4L as sale_order_id, 'T' as payment_term from range(1000)")
+    orders = spark.sql("select id as sale_order_id from range(10)")
+    out = wide._repeated(orders, many, "n", True)
+    assert out.count() == 1009 and out.filter("sale_order_id = 4 and n = 1000").count() == 1000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_nth" in plan and "_slice" in plan
+
+
+def test_an_order_is_heavy_by_its_invoice_items(spark):
+    """An order with one item among many, but most of the invoice items, is found."""
+    rows = {}
+    for n in range(40):
+        add_order(rows, n)
+        add_item(rows, n, n)
+    for n in range(400):
+        add_line(rows, n, 7 if n % 4 else n % 40, 1, 1)
+    assert set(wide.heavy_orders(make_tables(spark, rows))) == {7}

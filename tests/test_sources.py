@@ -63,7 +63,7 @@ def test_conform(spark):
 
 
 def test_jdbc_options():
-    plain = jdbc_options("jdbc:x", "sale_orders", user="u")
+    plain = jdbc_options("jdbc:x", "sale_orders", 1, user="u")
     assert plain["dbtable"] == "sale_orders" and plain["user"] == "u"
     assert "partitionColumn" not in plain
     ranged = jdbc_options("jdbc:x", "sale_order_state_logs", 8, (5, 104))
