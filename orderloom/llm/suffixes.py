@@ -3,10 +3,11 @@
 Every window (string of `width` bytes) gets a key that equal windows share: the least hash of
 its `GRAM`-byte strings. Neighbouring windows with one key make a run, the unit of the work:
 
-1. Runs are counted by key. A key that occurs once has no repeated window.
+1. Runs are counted by key. A key that occurs once, and whose string occurs once in its run, has
+   no repeated window.
 2. Runs of a key are counted by content. All windows of a content that occurs twice are repeats.
-3. What is left, contents that occur once beside others with their key, goes to suffix sorting:
-   groups are gathered into shards of bounded size, and each shard's suffixes are sorted in two
+3. What is left, contents that occur once beside others with their key or may repeat within,
+   goes to suffix sorting: groups are gathered into shards of bounded size, and each shard's suffixes are sorted in two
    stages. Suffixes smaller than their successor are sorted directly, the others are induced from
    them by a scan of the buckets of first bytes; neighbours in the order that share `width` bytes
    are repeats.
@@ -68,12 +69,18 @@ def least_in_windows(h: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
-def runs(data: bytes, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, numbers of windows and keys of the runs of a text."""
+def runs(data: bytes, width: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Starts, numbers of windows and keys of the runs of a text, and whether the string that
+    gives the key occurs again in the text, so that windows of one run may be equal."""
     if len(data) < width:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64)
-    keys = least_in_windows(gram_hashes(data, gram), width - gram + 1)
+        return none, none, none.astype(np.uint64), none
+    h = gram_hashes(data, gram)
+    reach = width - gram
+    keys = least_in_windows(h, reach + 1)
+    # A string gives the key of some window around it if it isn't above the largest key there.
+    around = ~np.concatenate([np.zeros(reach, np.uint64), keys, np.zeros(reach, np.uint64)])
+    values, times = np.unique(h[h <= ~least_in_windows(around, reach + 1)], return_counts=True)
     starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
     sizes = np.diff(np.append(starts, len(keys)))
     if sizes.max() > LONGEST_RUN:
@@ -81,7 +88,8 @@ def runs(data: bytes, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         starts = np.repeat(starts, parts) + nth * LONGEST_RUN
         sizes = np.diff(np.append(starts, len(keys)))
-    return starts, sizes, keys[starts]
+    again = times[np.searchsorted(values, keys[starts])] > 1
+    return starts, sizes, keys[starts], again.astype(np.int64)
 
 
 def halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,10 +98,10 @@ def halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def find_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """CONTENT and PLACE of the runs of `docs` (doc_id, mark, text)."""
+    """CONTENT, PLACE and `again` (see `runs`) of the runs of `docs` (doc_id, mark, text)."""
     schema = T.StructType(
         [docs.schema["doc_id"], T.StructField("mark", T.LongType())]
-        + [T.StructField(c, T.LongType()) for c in ("start", "windows", "k1", "c1", "c2")]
+        + [T.StructField(c, T.LongType()) for c in ("start", "windows", "k1", "again", "c1", "c2")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,12 +110,12 @@ def find_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
                 rows, found, digests = [], [], []
                 for row, text in enumerate(part.column("text").to_pylist()):
                     data = text.encode()
-                    starts, sizes, keys = runs(data, width, gram)
+                    starts, sizes, keys, again = runs(data, width, gram)
                     ends = starts + sizes + width - 1
                     digests += [
                         xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())
                     ]
-                    found.append((starts, sizes, keys.view(np.int64)))
+                    found.append((starts, sizes, keys.view(np.int64), again))
                     rows.append(np.full(len(starts), row))
                 at = pa.array(np.concatenate(rows))
                 c1, c2 = halves(digests)
@@ -180,21 +188,25 @@ def units(rows: DataFrame, step: int, width: int, gram: int) -> DataFrame:
 def settle(rows: DataFrame, width: int, *carried: str) -> tuple[DataFrame, DataFrame]:
     """Count contents: spans of those that occur twice, and one row of each content left open.
 
-    Rows have CONTENT, PLACE, copies (how often the row's content is known to occur) and the
-    carried columns. Open rows also have `contents`, the number of contents of their key.
+    Rows have CONTENT, PLACE, copies (how often the row's content is known to occur), again (1 if
+    it may hold equal windows itself) and the carried columns. Open rows also have `contents`, the number of contents of their key.
     """
     counted = rows.groupBy(*CONTENT).agg(
-        F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in (*PLACE, *carried)]
+        F.sum("copies").alias("copies"),
+        F.max("again").alias("again"),
+        *[F.first(c).alias(c) for c in (*PLACE, *carried)],
     )
     counted = keep(counted, "contents")
     repeated = counted.filter("copies > 1").select(*CONTENT)
     # Rows that already occurred more than once were found as repeats before.
     spans = rows.filter("copies = 1").join(repeated, CONTENT, "left_semi")
     groups = counted.groupBy(*KEY).agg(
-        F.count("*").alias("contents"), F.sum((F.col("copies") == 1).cast("long")).alias("open")
+        F.count("*").alias("contents"),
+        F.sum((F.col("copies") == 1).cast("long")).alias("open"),
+        F.max("again").alias("inside"),
     )
-    groups = groups.filter("contents > 1 and open > 0").drop("open")
-    return as_spans(spans, width), counted.join(groups, KEY)
+    groups = groups.filter("(contents > 1 or inside > 0) and open > 0").select(*KEY, "contents")
+    return as_spans(spans, width), counted.drop("again").join(groups, KEY)
 
 
 def as_spans(rows: DataFrame, width: int) -> DataFrame:
@@ -331,7 +343,8 @@ def marked(docs: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """doc_id, mark, low, high: byte spans covered by repeated windows; spans may overlap."""
     found = keep(find_runs(texts, width, gram), "runs").withColumnRenamed("k1", "key")
-    often = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    often = found.groupBy("key").agg(F.count("*").alias("n"), F.max("again").alias("again"))
+    often = often.filter("n > 1 or again > 0").select("key")
     rows = found.join(often, "key", "left_semi").withColumnRenamed("key", "k1")
     rows = keep(rows.withColumns({"k2": F.lit(0).cast("long"), "copies": F.lit(1).cast("long")}), "often")
     spans, left = settle(rows, width)
@@ -339,7 +352,9 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     for step in STEPS:
         spans = spans.unionByName(sort_shards(left.filter(F.col("contents") <= MOST_CONTENTS), width))
         crowded = left.filter(F.col("contents") > MOST_CONTENTS)
-        finer = keep(units(crowded, step, width, gram), "units")
+        # Windows of one unit differ in where their string stands, so they are never equal.
+        finer = units(crowded, step, width, gram).withColumn("again", F.lit(0))
+        finer = keep(finer, "units")
         more, left = settle(finer, width, "data")
         spans = spans.unionByName(more)
         left = keep(left, "open")

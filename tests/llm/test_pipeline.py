@@ -1,0 +1,96 @@
+"""The stages of the pipeline against plain Python, on whole small tables."""
+
+import zlib
+
+import duckdb
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from orderloom.llm import secrets, toxicity
+from test_secrets import base
+from test_simhash import plain_components, plain_fingerprint
+
+ROOT = "/root/testdata/sf0.001"
+WIDTH = 400
+
+
+def without_repeats(texts):
+    data = [t.encode() for t in texts]
+    seen = {}
+    for d in data:
+        for i in range(len(d) - WIDTH + 1):
+            seen[d[i : i + WIDTH]] = seen.get(d[i : i + WIDTH], 0) + 1
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - WIDTH + 1):
+            if seen[d[i : i + WIDTH]] > 1:
+                gone[i : i + WIDTH] = b"\1" * WIDTH
+        out.append(bytes(b for b, g in zip(d, gone) if not g).decode("utf-8", "ignore"))
+    return out
+
+
+def redacted(rows):
+    """Base spans of each text masked, unless three owners have the value; bare strings aside."""
+    owners = {}
+    found = {}
+    for doc_id, text, source in rows:
+        spans = [s.split(":") for s in base(text)[1].split(",") if s]
+        found[doc_id] = [(int(a), int(b), k) for k, a, b in spans]
+        for a, b, k in found[doc_id]:
+            value = text[a:b] if k != "assign" else text[a:b].split("=")[-1].split(":")[-1].strip(" \"'")
+            owners.setdefault(value, set()).add(source)
+            found[doc_id][found[doc_id].index((a, b, k))] = (a, b, value)
+    out = {}
+    for doc_id, text, _ in rows:
+        at, parts = 0, []
+        for a, b, value in sorted(found[doc_id]):
+            if len(owners[value]) >= secrets.EXAMPLE_OWNERS:
+                continue
+            if a >= at:
+                parts += [text[at:a], "[secret]"]
+            at = max(at, b)
+        out[doc_id] = "".join([*parts, text[at:]])
+    return out
+
+
+def test_against_plain_python(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text, source FROM '{ROOT}/documents.parquet' ORDER BY doc_id").fetchall()
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet")
+    labels = spark.read.parquet(f"{ROOT}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    rows = [r for r in rows if scores[r[0]] < toxicity.THRESHOLD]
+    stages = dict(corpus_pipeline.STAGES)
+    docs = stages["toxicity"](spark, docs, ROOT)
+    assert sorted(r.doc_id for r in docs.collect()) == [r[0] for r in rows]
+
+    root = plain_components([plain_fingerprint(t) for _, t, _ in rows])
+    least = {}
+    for r, c in zip(rows, root):
+        least.setdefault(c, r[0])
+    rows = [r for r, c in zip(rows, root) if least[c] == r[0]]
+    docs = stages["near_duplicates"](spark, docs, ROOT)
+    assert sorted(r.doc_id for r in docs.collect()) == [r[0] for r in rows]
+
+    cut = without_repeats([t for _, t, _ in rows])
+    rows = [(i, t, s) for (i, old, s), t in zip(rows, cut) if t.strip() or t == old]
+    docs = stages["suffix_dedup"](spark, docs, ROOT)
+    got = docs.collect()
+    assert {r.doc_id: r.text for r in got} == {i: t for i, t, _ in rows}
+    assert all(r.n_chars == len(r.text) for r in got)
+
+    masked = redacted(rows)
+    docs = stages["secrets"](spark, docs, ROOT)
+    assert {r.doc_id: r.text for r in docs.collect()} == masked
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    total = 0
+    for p in stages["packing"](spark, docs, ROOT).collect():
+        ids = [*library.encode(masked[p.doc_id], add_special_tokens=False).ids, 1]
+        part = ids[p.start : p.start + p.length]
+        assert p.doc_tokens == len(ids)
+        assert p.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in part))
+        total += p.length
+    assert total == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for t in masked.values())

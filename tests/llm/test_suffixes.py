@@ -64,6 +64,17 @@ def test_crowded_keys_are_cut_finer(spark, monkeypatch, most):
     check(spark, corpus(7), 40, 16)
 
 
+PERIODIC = ["Nd, " * 100, "x" * 41, "y" * 40, "0123456789abcdef" * 3 + "#", "the same again " * 9 + "end", "pq" * 400 + "r" * 90]
+
+
+@pytest.mark.parametrize("most", [1000, 0])
+def test_repeats_within_one_run(spark, monkeypatch, most):
+    monkeypatch.setattr(suffixes, "MOST_CONTENTS", most)
+    check(spark, list(enumerate(PERIODIC)), 40, 16)
+    for k, text in enumerate(PERIODIC):
+        check(spark, [(k, text)], 40, 16)
+
+
 def test_awkward_rows(spark):
     check(spark, AWKWARD, 40, 16)
 
