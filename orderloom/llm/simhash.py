@@ -38,21 +38,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     if not words:
         return 0
     joined = b" ".join(words)
-    if len(words) <= shingle:
-        pieces = [joined]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        last = len(words) - shingle + 1
-        pieces = [joined[a:b] for a, b in zip(starts[:last].tolist(), ends[shingle - 1 :].tolist())]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    n = max(1, len(words) - shingle + 1)
+    starts, ends = starts[:n], ends[len(words) - n :]
     counts = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
-    for start in range(0, len(pieces), CHUNK):
-        part = pieces[start : start + CHUNK]
-        h = np.fromiter((digest(p, 42) for p in part), np.dtype("<u8"), len(part))
+    for at in range(0, n, CHUNK):
+        places = zip(starts[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist())
+        h = np.array([digest(joined[a:b], 42) for a, b in places], np.dtype("<u8"))
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(pieces), bitorder="little").view("<u8")[0])
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

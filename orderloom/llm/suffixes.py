@@ -37,6 +37,8 @@ from orderloom.sources.shared import keep
 WIDTH = 400
 GRAM = 64
 LONGEST_RUN = 512
+# Windows of a text looked at together: a longer text is taken in segments, which cut runs.
+SEGMENT = 1 << 20
 STEPS = (32, 1)
 # Contents of one key that are sorted together at most, and bytes of a shard on average.
 MOST_CONTENTS = 1000
@@ -110,13 +112,17 @@ def find_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
                 rows, found, digests = [], [], []
                 for row, text in enumerate(part.column("text").to_pylist()):
                     data = text.encode()
-                    starts, sizes, keys, again = runs(data, width, gram)
-                    ends = starts + sizes + width - 1
-                    digests += [
-                        xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())
-                    ]
-                    found.append((starts, sizes, keys.view(np.int64), again))
-                    rows.append(np.full(len(starts), row))
+                    for low in range(0, max(1, len(data) - width + 1), SEGMENT):
+                        segment = data[low : low + SEGMENT + width - 1]
+                        starts, sizes, keys, again = runs(segment, width, gram)
+                        starts = starts + low
+                        ends = starts + sizes + width - 1
+                        digests += [
+                            xxhash.xxh3_128_digest(data[a:b])
+                            for a, b in zip(starts.tolist(), ends.tolist())
+                        ]
+                        found.append((starts, sizes, keys.view(np.int64), again))
+                        rows.append(np.full(len(starts), row))
                 at = pa.array(np.concatenate(rows))
                 c1, c2 = halves(digests)
                 arrays = [part.column("doc_id").take(at), part.column("mark").take(at)]

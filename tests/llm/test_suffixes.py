@@ -58,6 +58,20 @@ def test_against_brute_force(spark, seed):
     check(spark, corpus(seed), 40, 16)
 
 
+@pytest.mark.parametrize("segment", [1, 7, 100])
+def test_long_texts_in_segments(spark, monkeypatch, segment):
+    """Segments change nothing. (Tasks import the module anew, so the runs are compared here.)"""
+    monkeypatch.setattr(suffixes, "SEGMENT", segment)
+    for _, text in corpus(3, 20) + list(enumerate(PERIODIC)):
+        data = text.encode()
+        whole = suffixes.runs(data, 40, 16)
+        keys = lambda r, low=0: {low + s + k: key for s, n, key in zip(*r[:3]) for k in range(n)}
+        parts = {}
+        for low in range(0, max(1, len(data) - 39), segment):
+            parts |= keys(suffixes.runs(data[low : low + segment + 39], 40, 16), low)
+        assert parts == keys(whole)
+
+
 @pytest.mark.parametrize("most", [0, 4])
 def test_crowded_keys_are_cut_finer(spark, monkeypatch, most):
     monkeypatch.setattr(suffixes, "MOST_CONTENTS", most)
