@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from handmade import add_invoice, add_item, add_line, add_order, make_tables
 from orderloom.schemas import wide_columns, wide_schema
 from orderloom.sources import store as store_module
+from orderloom.sources.shared import names
 from orderloom.sources.store import WideStore
 from orderloom.streaming.sync import run
 
@@ -80,6 +81,33 @@ def test_failure_leaves_everything(spark, store, monkeypatch):
     assert store._latest()[0]["version"] == 2
 
 
+def test_vacuum(spark, store):
+    """Old commits and replaced ranges go; what the kept commits have stays."""
+    store.replace(order_ids(spark, 1, 31), wide_rows(spark, {1: [5], 31: [7]}), DAY1, "a")
+    for n, run_name in ((6, "b"), (7, "c")):
+        store.replace(order_ids(spark, 1), wide_rows(spark, {1: [n]}), DAY2, run_name)
+    files = lambda: {f.split("/data/")[1].rsplit("/", 1)[0] for f in store.read().inputFiles()}
+    before = files()
+    store.vacuum(versions=1)
+    assert list(store._versions()) == [3]
+    assert content(store) == {1: [7], 31: [7]} and files() == before
+    assert names(spark, f"{store.root}/data/run=b") in ([], ["_SUCCESS"], ["._SUCCESS.crc", "_SUCCESS"])
+    store.replace(order_ids(spark, 31), wide_rows(spark, {31: [8]}), DAY3, "d")
+    assert content(store) == {1: [7], 31: [8]}
+
+
+def test_two_runs_at_a_time(spark, store, monkeypatch):
+    """Of two runs that start from one version the second fails and leaves nothing."""
+    store.replace(order_ids(spark, 1), wide_rows(spark, {1: [5]}), DAY1, "a")
+    latest = store._latest()
+    store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
+    monkeypatch.setattr(store, "_latest", lambda: latest)
+    with pytest.raises(Exception, match="already exists"):
+        store.replace(order_ids(spark, 1), wide_rows(spark, {1: [7]}), DAY2, "c")
+    monkeypatch.undo()
+    assert content(store) == {1: [6]}
+
+
 def test_pruning(spark, store):
     """Reading some columns of the stored table reads only those from the files."""
     store.replace(order_ids(spark, 1), wide_rows(spark, {1: [5]}), DAY1, "a")
