@@ -85,10 +85,9 @@ def fit(
         odds = np.clip(share, 0.01, 0.99)
         return Model(np.zeros(size, np.float32), float(np.log(odds / (1 - odds))))
     seen = np.zeros(size, np.int32)
-    rows = [features(text, seen) for _, text in sample]
     counts = np.zeros((2, size))
-    for label, row in zip(y.astype(int), rows, strict=True):
-        counts[label][row] += 1
+    for label, text in sample:
+        counts[label][features(text, seen)] += 1
     ratio = np.log((counts[1] + 1) / (y.sum() + 2)) - np.log((counts[0] + 1) / ((1 - y).sum() + 2))
     frequent = np.flatnonzero(counts.sum(0) >= min(min_docs, len(y)))
     strength = np.abs(ratio[frequent]) * np.sqrt(counts.sum(0)[frequent])
@@ -96,8 +95,11 @@ def fit(
 
     place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    rows = [place[row] for row in rows]
-    rows = [row[row >= 0] for row in rows]
+    # The texts are read again rather than all their n-grams held.
+    rows = []
+    for _, text in sample:
+        row = place[features(text, seen)]
+        rows.append(row[row >= 0])
     doc = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
     column = np.concatenate(rows)
     value = ratio[chosen][column]
