@@ -97,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_secrets": secrets.ORACLE,
     "op1_topk": """
         WITH good AS (
             SELECT row_number() OVER () AS row_no, vec_id,

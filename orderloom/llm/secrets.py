@@ -84,7 +84,7 @@ def bare(text: Column, base: Column) -> Column:
         matches(text, BARE, 0),
         lambda m: m["value"].rlike("[A-Za-z]")
         & m["value"].rlike("[0-9]")
-        & (F.size(F.array_distinct(F.split(m["value"], ""))) >= 10),
+        & (F.size(F.array_remove(F.array_distinct(F.split(m["value"], "")), "")) >= 10),
     )
     outside = F.filter(
         mixed, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
@@ -192,3 +192,60 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\\x20", " ") + "'"
+
+
+# What `span_digests` returns for the table documents, for DuckDB.
+ORACLE = f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text,
+               coalesce(source, '') AS owner FROM documents),
+    matched AS (
+        SELECT row_no, 0 AS kind, string_split_regex(text, {_sql(ASSIGN)}) AS gaps,
+               regexp_extract_all(text, {_sql(ASSIGN)}, 0) AS wholes,
+               regexp_extract_all(text, {_sql(ASSIGN)}, 2) AS found FROM docs
+        UNION ALL SELECT row_no, 1, string_split_regex(text, {_sql(ACCESS)}),
+               regexp_extract_all(text, {_sql(ACCESS)}), regexp_extract_all(text, {_sql(ACCESS)}) FROM docs
+        UNION ALL SELECT row_no, 2, string_split_regex(text, {_sql(HEX)}),
+               regexp_extract_all(text, {_sql(HEX)}), regexp_extract_all(text, {_sql(HEX)}) FROM docs
+        UNION ALL SELECT row_no, 3, string_split_regex(text, {_sql(BARE)}),
+               regexp_extract_all(text, {_sql(BARE)}), regexp_extract_all(text, {_sql(BARE)}) FROM docs),
+    places AS (
+        SELECT row_no, kind, gaps, wholes, found, unnest(range(1, len(wholes) + 1)) AS i
+        FROM matched WHERE len(wholes) > 0),
+    spans AS (
+        SELECT row_no, kind, found[i] AS value, length(wholes[i]) AS size,
+               list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(wholes[1:i - 1], lambda x: length(x))), 0) AS low
+        FROM places),
+    base AS (
+        SELECT row_no, kind, value, low, low + size AS high FROM spans
+        WHERE kind = 0 AND length(value) >= 8 OR kind = 1 AND length(value) >= 16 OR kind = 2),
+    every AS (
+        SELECT * FROM base
+        UNION ALL
+        SELECT row_no, kind, value, low, low + size FROM spans
+        WHERE kind = 3 AND regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]')
+          AND len(list_distinct(string_split(value, ''))) >= 10
+          AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row_no = spans.row_no
+                          AND b.low < spans.low + spans.size AND spans.low < b.high)),
+    frequency AS (
+        SELECT value, count(DISTINCT owner) AS owners FROM every JOIN docs USING (row_no) GROUP BY value),
+    kept AS (
+        SELECT every.*, [{", ".join(f"'{k}'" for k in KINDS)}][kind + 1] || ':' || low::BIGINT || ':' || high::BIGINT AS name
+        FROM every JOIN frequency USING (value)
+        WHERE kind < 3 OR owners = 1 AND NOT regexp_matches(value, {_sql(PLACEHOLDER.rpartition("|")[0])})
+              AND replace(value, value[1], '') <> ''),
+    listed AS (
+        SELECT row_no, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+               count(*) FILTER (kind = 2) AS n_hex,
+               string_agg(name, ',' ORDER BY low, kind) FILTER (kind < 3) AS base_spans,
+               string_agg(name, ',' ORDER BY low, kind) AS spans
+        FROM kept GROUP BY row_no)
+    SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+           coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256,
+           coalesce(spans, '') AS spans
+    FROM docs LEFT JOIN listed USING (row_no)"""
