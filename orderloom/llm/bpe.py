@@ -3,8 +3,9 @@
 The automaton reads tokens and accepts just the token sequences that the merges produce. At
 first it has one state that reads every byte and returns to itself. Merge (u, v) -> w adds to
 every state that reads u an arc on w to where v leads, and sends all arcs on u to a copy of
-their target that no longer reads v. (A merge whose parts never meet changes nothing.) So each token has one target state at a time, each merge
-makes one copy, and a state is stored as (what it copies, what it no longer reads, when).
+their target that no longer reads v. (A merge whose parts never meet changes nothing.) So each
+token has one target state at a time, each merge makes one copy, and a state is stored as its
+place in the chain of copies for one token.
 
 A word's encoding is the one path through the automaton whose labels spell the word. It is
 found longest token first; a position that leads nowhere is not tried again. Decoding emits the
@@ -18,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+from bisect import bisect_right
 
 import pyarrow as pa
 import regex
@@ -29,8 +32,10 @@ from orderloom.llm.common import id_and_text, map_texts
 # Fixed value: the pattern that splits text into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# Words whose encoding a worker remembers; beyond that it starts afresh.
-CACHE_WORDS = 400_000
+# Pieces of text whose encoding a worker remembers; beyond that it starts afresh.
+CACHE_PIECES = 400_000
+# A stop after a word and before white space: a word of the pattern ends before it.
+STOPS = re.compile(r"[.,](?<=[^\W_].)(?=\s)")
 
 
 def byte_signs() -> dict[str, int]:
@@ -53,10 +58,16 @@ class Automaton:
             raise ValueError("a token of several bytes has no merge")
         # State 0 reads everything. Tokens: target state, time, first part of the merge.
         self.target = dict.fromkeys(base, 0)
-        self.time = dict.fromkeys(base, 0)
-        self.first = dict.fromkeys(base, -1)
-        # States: the state copied, the token no longer read, the time of the copy.
-        self.copied, self.without, self.born = [-1], [-1], [0]
+        self.time = [0] * (max(self.label, default=-1) + 1)
+        self.first = [-1] * len(self.time)
+        # Copies of one token's target follow each other, so states come in chains: the chain
+        # and place of a state, a chain's states and their times, the state its first one
+        # copies, and the place from which on a chain no longer reads a token.
+        self.chain, self.place = [-1], [0]
+        self.states: dict[int, list[int]] = {}
+        self.births: dict[int, list[int]] = {}
+        self.root: dict[int, int] = {}
+        self.removed: dict[int, int] = {}
         for now, (u, v) in enumerate(merges, 1):
             self.gadget(now, vocab[u], vocab[v], vocab[u + v])
         self.arcs: dict[int, bool] = {}
@@ -68,87 +79,94 @@ class Automaton:
             return
         middle = self.target[u]
         self.target[w], self.time[w], self.first[w] = self.target[v], now, u
-        self.copied.append(middle)
-        self.without.append(v)
-        self.born.append(now)
-        self.target[u] = len(self.born) - 1
+        if u not in self.states:
+            self.states[u], self.births[u], self.root[u] = [], [], middle
+        self.target[u] = len(self.chain)
+        self.chain.append(u)
+        self.place.append(len(self.states[u]))
+        self.removed[u << 20 | v] = len(self.states[u])
+        self.states[u].append(self.target[u])
+        self.births[u].append(now)
 
     def reads(self, state: int, token: int) -> bool:
-        """Whether the state has an arc on the token."""
-        while True:
-            if state == 0:
-                return True
-            if token == self.without[state]:
+        """Whether the state has an arc on the token.
+
+        A state made after the token has the arcs of the state it copies, but for one; in an
+        older state, the token's arc was added wherever there was one on its first part.
+        """
+        while state:
+            u, k = self.chain[state], self.place[state]
+            if self.removed.get(u << 20 | token, k + 1) <= k:
                 return False
-            if self.born[state] > self.time[token]:
-                state = self.copied[state]
-            else:
+            births, made = self.births[u], self.time[token]
+            if births[k] <= made:
                 token = self.first[token]
+            elif births[0] > made:
+                state = self.root[u]
+            else:
+                state = self.states[u][bisect_right(births, made, 0, k) - 1]
+        return True
 
     def compile_prefixes(self) -> None:
-        """A trie of the labels as one table (node, byte) -> node, and the token at each node.
+        """A trie of the labels: a node is a table byte -> (node, token that ends there or -1).
 
         `shorter` gives the longest token that is a proper prefix of a token.
         """
-        self.step: dict[int, int] = {}
-        self.token = [-1]
-        for i in self.target:
-            node, label = 0, self.label[i]
-            for byte in label:
-                key = node << 8 | byte
-                if key not in self.step:
-                    self.step[key] = len(self.token)
-                    self.token.append(-1)
-                node = self.step[key]
-            self.token[node] = i
+        self.trie: dict = {}
         self.shorter = {}
-        for i in self.target:
-            node, last = 0, -1
-            for byte in self.label[i][:-1]:
-                node = self.step[node << 8 | byte]
-                last = self.token[node] if self.token[node] >= 0 else last
+        # Shorter labels first, so that a label's prefixes are in the trie before it.
+        for i in sorted(self.target, key=lambda i: len(self.label[i])):
+            node, last = self.trie, -1
+            *path, end = self.label[i]
+            for byte in path:
+                below, token = node.get(byte, (None, -1))
+                if below is None:
+                    below = {}
+                    node[byte] = below, token
+                last = token if token >= 0 else last
+                node = below
             self.shorter[i] = last
+            node[end] = node.get(end, ({}, -1))[0], i
+        self.sizes = {i: len(label) for i, label in self.label.items()}
 
     def encode(self, word: bytes) -> list[int]:
         """The token ids of one word."""
-        step, token, label, arcs, target = self.step, self.token, self.label, self.arcs, self.target
+        trie, sizes, arcs, target = self.trie, self.sizes, self.arcs, self.target
         end = len(word)
         path: list[int] = []
-        dead = set()
+        dead: set[int] = set()
         at, state = 0, 0
-        tried = -1  # the token to go on below at this position, or -1 to start with the longest
         while at < end:
-            if tried < 0:
-                node, k, found = 0, at, -1
-                while k < end:
-                    node = step.get(node << 8 | word[k])
-                    if node is None:
-                        break
-                    k += 1
-                    if token[node] >= 0:
-                        found = token[node]
-            else:
-                found = self.shorter[tried]
-            while found >= 0:
-                past = at + len(label[found])
-                if past not in dead:
-                    key = state << 20 | found
-                    ok = arcs.get(key)
-                    if ok is None:
-                        if len(arcs) > 2_000_000:
-                            arcs.clear()
-                        ok = arcs[key] = self.reads(state, found)
-                    if ok:
-                        break
-                found = self.shorter[found]
-            if found >= 0:
-                path.append(found)
-                at, state, tried = past, target[found], -1
-                continue
-            dead.add(at)
-            tried = path.pop()
-            at -= len(label[tried])
-            state = target[path[-1]] if path else 0
+            node, found = trie, -1
+            for byte in word[at:] if at else word:
+                below = node.get(byte)
+                if below is None:
+                    break
+                node, token = below
+                if token >= 0:
+                    found = token
+            while True:
+                if found >= 0:
+                    past = at + sizes[found]
+                    if past not in dead:
+                        key = state << 20 | found
+                        ok = arcs.get(key)
+                        if ok is None:
+                            if len(arcs) > 500_000:
+                                arcs.clear()
+                            ok = arcs[key] = self.reads(state, found)
+                        if ok:
+                            break
+                    found = self.shorter[found]
+                else:
+                    # No arc leads on from here: go back, and on with a shorter token.
+                    dead.add(at)
+                    found = path.pop()
+                    at -= sizes[found]
+                    state = target[path[-1]] if path else 0
+                    found = self.shorter[found]
+            path.append(found)
+            at, state = past, target[found]
         return path
 
 
@@ -166,7 +184,9 @@ class Codec:
         self.find = regex.compile(WORDS)
         ordered = sorted(special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if special else None
-        self.known: dict[str, tuple[str, int]] = {}
+        self.known: dict[str, tuple[str, bytes]] = {}
+        self.signs = {i: s.encode() for s, i in special.items()}
+        self.numbers = {i: str(i) for i in vocab.values()} | {i: str(i) for i in self.signs}
 
     def words(self, text: str) -> list[str]:
         """The words of a text; special tokens are words of their own."""
@@ -186,31 +206,52 @@ class Codec:
         return [i for word in self.words(text) for i in self.ids(word)]
 
     def labels(self, ids: list[int]) -> bytes:
-        signs = {i: s.encode() for s, i in self.special.items()}
-        return b"".join(signs[i] if i in signs else self.automaton.label[i] for i in ids)
+        label, signs = self.automaton.label, self.signs
+        return b"".join([label[i] if i in label else signs[i] for i in ids])
 
     def decode(self, ids: list[int]) -> str:
         return self.labels(ids).decode("utf-8", "replace")
 
+    def piece(self, piece: str) -> tuple[str, bytes]:
+        """Comma-joined ids and the labels of a string whose encoding stands on its own."""
+        if piece[1:].isalpha() and piece[0] == " ":
+            ids = self.automaton.encode(piece.encode())
+        else:
+            ids = [i for word in self.words(piece) for i in self.ids(word)]
+        return ",".join([self.numbers[i] for i in ids]), self.labels(ids)
+
+    def pieces(self, text: str) -> list[str] | None:
+        """The text cut before single spaces, and before a stop that ends a word: no word of the
+        pattern spans these places. Cuts before a stop are marked by a leading zero sign, all
+        others but the first stand for a space. None if the text has wider or special spacing.
+        """
+        if "  " in text or "\0" in text or any(s in text for s in self.special):
+            return None
+        return STOPS.sub(" \0\\g<0>", text).split(" ")
+
+    def parts(self, text: str) -> list[tuple[str, bytes]]:
+        """The ids and labels of the pieces of a text, in order."""
+        known, pieces = self.known, self.pieces(text)
+        if pieces is None:
+            pieces = ["", *["\0" + word for word in self.words(text)]]
+        first, rest = pieces[0], pieces[1:]
+        parts = list(map(known.get, rest))
+        if None in parts:
+            if len(known) > CACHE_PIECES:
+                known.clear()
+            for piece in set(rest).difference(known):
+                known[piece] = self.piece(piece[1:] if piece[:1] == "\0" else " " + piece)
+            parts = list(map(known.__getitem__, rest))
+        return [self.piece(first), *parts] if first else parts
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, sha256 of the comma-joined ids, sha256 of the decoded text."""
-        known = self.known
-        words = self.words(text)
-        for word in set(words).difference(known):
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-                for again in set(words):
-                    ids = self.ids(again)
-                    known[again] = ",".join(map(str, ids)), len(ids), self.labels(ids)
-                break
-            ids = self.ids(word)
-            known[word] = ",".join(map(str, ids)), len(ids), self.labels(ids)
-        parts = [known[word] for word in words]
-        ids_text = ",".join([p[0] for p in parts])
-        decoded = b"".join([p[2] for p in parts]).decode("utf-8", "replace")
+        ids, labels = zip(*self.parts(text)) if text else ((), ())
+        joined = ",".join(ids)
+        decoded = b"".join(labels).decode("utf-8", "replace")
         return (
-            sum([p[1] for p in parts]),
-            hashlib.sha256(ids_text.encode()).hexdigest(),
+            joined.count(",") + bool(joined),
+            hashlib.sha256(joined.encode()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest(),
         )
 
