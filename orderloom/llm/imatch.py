@@ -42,6 +42,8 @@ SHARES = tuple(share for share, n in LEVELS.items() for _ in range(n))
 # Subsets of a level that must hold a term before the level counts.
 ENOUGH = 3
 CACHE_WORDS = 500_000
+# Ranges of ids for each shuffle partition.
+RANGES = 16
 
 SALTS = np.array([xxhash.xxh64_intdigest(b"subset", k) | 1 for k in range(len(SHARES))], np.uint64)
 LIMITS = np.array([(1 << 64) // s - 1 for s in SHARES], np.uint64)
@@ -155,12 +157,16 @@ def in_order(docs: DataFrame) -> DataFrame:
     follows it: each bucket is a range of ids, with the first row of the next range (role 1) last.
     """
     spark = docs.sparkSession
-    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    # The highest id of each range: one number for each of a set number of ranges.
-    ids = docs.select(number.alias("id")).repartitionByRange(ranges, F.col("id").desc())
-    tops = ids.groupBy(F.spark_partition_id().alias("part")).agg(F.max("id").alias("top")).collect()
-    highest = np.unique(np.array([r["top"] for r in tops], np.int64))
+    # The highest ids of ranges, a set number of ids for each partition: with many ranges to a
+    # task, tasks get about equal shares.
+    ids = docs.select(number.alias("id")).repartitionByRange(partitions, F.col("id").desc())
+    shares = [k / RANGES for k in range(1, RANGES)]
+    tops = ids.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.max("id").alias("top"), F.percentile_approx("id", shares, 200).alias("others")
+    )
+    highest = np.unique(np.array([x for r in tops.collect() for x in [r["top"], *r["others"]]], np.int64))
 
     @F.pandas_udf("array<long>")
     def places(id_: pd.Series) -> pd.Series:
