@@ -12,7 +12,7 @@ import regex
 from orderloom.llm.bpe import byte_signs
 
 # Strings whose ids a worker remembers; beyond that it starts afresh.
-CACHE_STRINGS = 700_000
+CACHE_STRINGS = 500_000
 # Signs outside those known to be split, lower-cased and composed alike by all libraries.
 ODD = regex.compile("[^\x00-\x1b\x20-\x7f\xa0-\u012f\u0131-\u017f\u0410-\u044f\u2013-\u2026\u4e00-\u9fff]")
 # The end of a word before a comma or full stop: a word of the pattern always ends there.
