@@ -211,7 +211,9 @@ TABLES = {
         GROUP BY p.sale_order_id""",
     "pay_days": r"""
         SELECT invoice_id,
-               string_agg(coalesce(paid_on::VARCHAR, ''), ',' ORDER BY paid_on NULLS FIRST) AS payment_dates,
+               CASE WHEN count(paid_on) > 0 THEN
+                   string_agg(coalesce(paid_on::VARCHAR, ''), ',' ORDER BY paid_on NULLS FIRST)
+               END AS payment_dates,
                string_agg(amount::VARCHAR, ',' ORDER BY paid_on NULLS FIRST) AS all_payments
         FROM (SELECT invoice_id, paid_on, sum(amount)::DECIMAL(18,2) AS amount FROM lines
               GROUP BY invoice_id, paid_on) GROUP BY invoice_id""",

@@ -307,15 +307,16 @@ def order_items(tables: Tables, settings: Settings = Settings(), needs=None) ->
 
 
 def _lists(array: str, *fields: str) -> list[Column]:
-    """The fields of a list of structs, each as comma-separated text; NULL if it is empty.
+    """The fields of a list of structs, each as comma-separated text; NULL if no struct has it.
 
-    All texts have one entry per struct, empty where the field is missing, so the n-th entries
+    The texts have one entry per struct, empty where the field is missing, so the n-th entries
     belong together.
     """
 
     def text(field: str) -> Column:
         values = F.transform(F.col(array), lambda e: F.coalesce(e[field].cast("string"), F.lit("")))
-        return F.when(F.size(values) > 0, F.array_join(values, ","))
+        known = F.exists(F.col(array), lambda e: e[field].isNotNull())
+        return F.when(known, F.array_join(values, ","))
 
     return [text(field) for field in fields]
 
