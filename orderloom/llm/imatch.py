@@ -1,7 +1,8 @@
 """I-Match fingerprints: hashes of a text's terms from several random parts of a lexicon.
 
 The lexicon holds the terms whose inverse document frequency lies in a band: terms of more than
-a tenth of the documents say little, terms of fewer than one document in ten thousand are chance.
+half of the documents say little, terms of fewer than one document in ten thousand are chance.
+Near copies of one text may hold a third of the table, so the band ends above that.
 Frequencies are counted over all documents. As the documents' distinct terms are shared out among
 the lexicon's terms, it has at most `RAREST` times the mean number of distinct terms of a
 document; tasks get it as a bit map of fixed size over hashed terms.
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from orderloom.llm.common import id_and_text, id_type, map_texts, plain_words, slices
 
 # The band, as shares of the documents: one in COMMONEST to one in RAREST.
-COMMONEST = 10
+COMMONEST = 2
 RAREST = 10_000
 MAP_BITS = 24
 # Subsets hold one in so many of the lexicon's terms, for texts of different lengths.

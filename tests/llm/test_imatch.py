@@ -65,3 +65,14 @@ def test_awkward_rows(spark):
         texts.setdefault((r.doc_id, r.n_chars), set()).add(r.fingerprint)
     assert all(len(f) == 1 for f in texts.values())
     assert imatch.edit_digests(docs(spark, [])).count() == 0
+
+
+def test_near_copies_of_a_third_of_the_table(spark):
+    """A group's words stand in a third of the rows, and still tell its near copies."""
+    rows = [(k, " ".join(f"own{k}x{j}" for j in range(40))) for k in range(200)]
+    group = [f"shared{j}" for j in range(60)]
+    rows += [(1000 + k, " ".join([*group[: k % 60], *group[k % 60 + 1 :]])) for k in range(100)]
+    marks = {r.doc_id: r.fingerprint for r in imatch.fingerprints(docs(spark, rows)).collect()}
+    near = [imatch.likeness(marks[1000 + k], marks[1001 + k]) for k in range(59)]
+    assert min(near) > 0.5
+    assert max(imatch.likeness(marks[k], marks[k + 1]) for k in range(199)) == 0
