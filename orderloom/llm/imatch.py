@@ -8,8 +8,9 @@ the lexicon's terms, it has at most `RAREST` times the mean number of distinct t
 document; tasks get it as a bit map of fixed size over hashed terms.
 
 A text's terms from the lexicon are made distinct, sorted (by hash) and hashed: all together, and
-those in each of a fixed number of random subsets of the lexicon, large ones for short texts and
-small ones for long texts. The likeness of two fingerprints is the share of equal hashes among the
+those in each of random subsets of the lexicon, large ones for short texts and small ones for long
+texts. The smallest subsets go on being cut to a quarter, level by level, until none holds a term
+of the text, so however long a text is, some level has few terms to a subset. The likeness of two fingerprints is the share of equal hashes among the
 subsets of a size that hold a term of either text, for the size that shows most.
 
 Defined cases: a text without terms from the lexicon is hashed whole, and is like another only if
@@ -40,6 +41,8 @@ MAP_BITS = 24
 # Subsets hold one in so many of the lexicon's terms, for texts of different lengths.
 LEVELS = {4: 8, 16: 8, 64: 12, 256: 12}
 SHARES = tuple(share for share, n in LEVELS.items() for _ in range(n))
+# Further levels hold one in STEP of the terms of the last of these.
+STEP = 4
 # Subsets of a level that must hold a term before the level counts.
 ENOUGH = 3
 CACHE_WORDS = 500_000
@@ -94,6 +97,10 @@ def lexicon(docs: DataFrame) -> bytes:
     return bits.tobytes()
 
 
+def subset_hash(terms: np.ndarray) -> str:
+    return xxhash.xxh32_hexdigest(terms.tobytes()) if len(terms) else "0" * 8
+
+
 class Fingerprinter:
     def __init__(self, bit_map: bytes):
         self.bits = np.frombuffer(bit_map, np.uint32)
@@ -122,7 +129,16 @@ class Fingerprinter:
         parts = [xxhash.xxh64_hexdigest(terms.tobytes())]
         for k in range(len(SHARES)):
             own = terms[chosen[:, k]]
-            parts.append(xxhash.xxh32_hexdigest(own.tobytes()) if len(own) else "0" * 8)
+            parts.append(subset_hash(own))
+        last = range(len(SHARES) - list(LEVELS.values())[-1], len(SHARES))
+        left = [(terms[chosen[:, k]], mixed[chosen[:, k], k]) for k in last]
+        limit = int(LIMITS[-1]) // STEP
+        while limit:
+            left = [(own[at <= limit], at[at <= limit]) if len(own) else (own, at) for own, at in left]
+            if not any(len(own) for own, _ in left):
+                break
+            parts += [subset_hash(own) for own, _ in left]
+            limit //= STEP
         return "".join(parts)
 
 
@@ -131,8 +147,13 @@ def likeness(a: str, b: str) -> float:
     if a == b:
         return 1.0
     empty = "0" * 8
+    # Levels that a fingerprint doesn't go down to are empty.
+    length = max(len(a), len(b))
+    a, b = a.ljust(length, "0"), b.ljust(length, "0")
     at, best, same, every = 16, 0.0, 0, 0
-    for n in LEVELS.values():
+    sizes = list(LEVELS.values())
+    deeper = (length - 16 - 8 * sum(sizes)) // (8 * sizes[-1])
+    for n in sizes + [sizes[-1]] * deeper:
         pairs = [(a[k : k + 8], b[k : k + 8]) for k in range(at, at + 8 * n, 8)]
         filled = sum(p != (empty, empty) for p in pairs)
         equal = sum(x == y != empty for x, y in pairs)

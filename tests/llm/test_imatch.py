@@ -76,3 +76,13 @@ def test_near_copies_of_a_third_of_the_table(spark):
     near = [imatch.likeness(marks[1000 + k], marks[1001 + k]) for k in range(59)]
     assert min(near) > 0.5
     assert max(imatch.likeness(marks[k], marks[k + 1]) for k in range(199)) == 0
+
+
+@pytest.mark.parametrize("n", [1_000, 4_000, 20_000, 100_000])
+def test_near_copies_of_very_long_texts(spark, n):
+    """However many terms a text has, some subsets hold few enough to outlast an edit of a third."""
+    rows = [(k, " ".join(f"t{k}x{j}" for j in range(n))) for k in range(6)]
+    got = imatch.edit_digests(docs(spark, rows)).collect()
+    assert len(got) == 6
+    assert all(r.near_edited > 0 for r in got)
+    assert all(r.near_next == 0 for r in got)
