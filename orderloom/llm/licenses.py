@@ -2,7 +2,7 @@
 
 A notice that occurs with at most e edits contains one of any e + 1 pieces of it unchanged. So
 each notice is split into e + 1 seeds, the seeds are sought exactly, and the regex library checks
-the surroundings of each with its bounded-error matching and reports the span and the edits.
+every span around each that the notice may have with its bounded-error matching and tells the edits.
 
 Texts are compared as words joined by single spaces. Defined cases: a null or empty text, or one
 without words, has no labels and score 0; repeated rows are scanned each; spans of one notice
@@ -11,6 +11,7 @@ don't overlap.
 
 from __future__ import annotations
 
+from bisect import bisect
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -28,7 +29,7 @@ PHRASES = {
 }
 
 # Notices sought with errors: one edit for every ten signs, three at most. The words that tell
-# alike notices apart must stand in the span as they are.
+# alike notices apart must stand in the span as they are, as words of the text.
 NOTICES = [
     ("mit", "under the mit license", "mit"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", ""),
@@ -54,41 +55,69 @@ class Notice:
     telling: bytes
     seeds: list[tuple[int, bytes]] = field(default_factory=list)
     pattern: regex.Pattern | None = None
+    quick: regex.Pattern | None = None
 
     def __post_init__(self):
         parts = self.edits + 1
         cuts = [len(self.text) * k // parts for k in range(parts + 1)]
         self.seeds = [(a, self.text[a:b]) for a, b in zip(cuts, cuts[1:])]
-        self.pattern = regex.compile(
-            b"(?b)(?:" + regex.escape(self.text) + b"){e<=" + str(self.edits).encode() + b"}"
-        )
+        near = b"(?:" + regex.escape(self.text) + b"){e<=" + str(self.edits).encode() + b"}"
+        self.quick, self.pattern = regex.compile(near), regex.compile(b"(?b)" + near)
 
-    def regions(self, words: bytes) -> list[tuple[int, int]]:
-        """Parts of the text that may hold the notice: where a seed stands, with room for edits."""
+    def origins(self, words: bytes) -> set[int]:
+        """Where the notice would start, were all before a seed that stands there unchanged."""
         found = set()
         for offset, seed in self.seeds:
             at = words.find(seed)
             while at >= 0:
                 found.add(at - offset)
                 at = words.find(seed, at + 1)
-        out: list[tuple[int, int]] = []
-        for start in sorted(found):
-            low = max(0, start - self.edits)
-            high = min(len(words), start + len(self.text) + self.edits)
-            if out and low <= out[-1][1]:
-                out[-1] = (out[-1][0], max(out[-1][1], high))
-            else:
-                out.append((low, high))
-        return out
+        return found
+
+    def candidates(self, words: bytes) -> dict[tuple[int, int], int]:
+        """Edits of each (start, end) that is the notice with few enough of them."""
+        found, size = {}, len(self.text)
+        whole = b" " + self.telling + b" "
+        for origin in self.origins(words):
+            end = origin + size
+            if origin >= 0 and words[origin:end] == self.text:
+                found[origin, end] = 0
+                continue
+            low, high = max(0, origin - self.edits), min(len(words), end + self.edits)
+            if not self.quick.search(words, low, high):
+                continue
+            # Edits before the seed move the start, those behind it the end.
+            for i in range(-self.edits, self.edits + 1):
+                for j in range(abs(i) - self.edits, self.edits - abs(i) + 1):
+                    span = origin + i, end + j
+                    if span in found or span[0] < 0 or span[1] > len(words):
+                        continue
+                    if self.telling and words.find(whole, max(0, span[0] - 1), span[1] + 1) < 0:
+                        continue
+                    match = self.pattern.fullmatch(words, *span)
+                    if match:
+                        found[span] = sum(match.fuzzy_counts)
+        return found
 
     def spans(self, words: bytes) -> list[tuple[int, int, int]]:
-        """(start, end, edits) of each occurrence."""
-        found = []
-        for low, high in self.regions(words):
-            for match in self.pattern.finditer(words, low, high):
-                if self.telling and self.telling not in match[0].split():
-                    continue
-                found.append((match.start(), match.end(), sum(match.fuzzy_counts)))
+        """(start, end, edits) of each occurrence: of spans that overlap the one with the fewest
+        edits, of these one between spaces, of these the first. Two may share a space."""
+        space = b" "[0]
+
+        def rank(item: tuple[tuple[int, int], int]) -> tuple:
+            (start, end), edits = item
+            return edits, (words[start] != space) + (words[end - 1] != space), start, end
+
+        def apart(left: tuple, right: tuple) -> bool:
+            shared = min(left[1], right[1]) - right[0]
+            return shared <= 0 or (shared == 1 and words[right[0]] == space)
+
+        found: list[tuple[int, int, int]] = []
+        for (start, end), edits in sorted(self.candidates(words).items(), key=rank):
+            one = (start, end, edits)
+            k = bisect(found, one)
+            if (k == 0 or apart(found[k - 1], one)) and (k == len(found) or apart(one, found[k])):
+                found.insert(k, one)
         return found
 
 

@@ -72,3 +72,50 @@ def test_typing_errors_are_reported(spark):
     assert [(s.label, s.first, s.last, s.edits) for s in found[1]] == [("mit", 1, 4, 2)]
     assert [(s.label, s.edits) for s in found[2]] == [("gpl-3", 1)]
     assert found[3] == []
+
+
+def test_a_better_notice_does_not_hide_others():
+    def found(text):
+        return [(s["label"], s["first"], s["edits"]) for s in licenses.scan(text)["spans"]]
+
+    wrong = "gnu generl publc license version 2"
+    assert found(wrong) == [("gpl-2", 0, 2)]
+    assert found(f"{wrong} or gnu general public license version 3") == [("gpl-3", 7, 0), ("gpl-2", 0, 2)]
+    assert found(f"gnu general public license version 3 or {wrong}") == [("gpl-3", 0, 0), ("gpl-2", 7, 2)]
+    assert found("gnu general public license version 25") == []
+    for text in ("all rights reservd all rights reserved", "all rights reserved all rights reservd"):
+        assert sorted(e for _, _, e in found(text)) == [0, 1]
+        assert [first for _, first, _ in found(text)] == [0, 3]
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spans_against_every_span(seed):
+    """Spans with few enough edits that hold the telling word, all of them, by edit distance."""
+    rng = random.Random(seed)
+    for one in licenses.SOUGHT:
+        text = bytearray(one.text + one.text[1:])
+        for _ in range(rng.randrange(2 * one.edits + 1)):
+            k = rng.randrange(1, len(text) - 1)
+            text[k : k + rng.randrange(2)] = rng.choice([b"", b"x", b"2", b" 3"])
+        whole = b" foo" + bytes(text) + b"bar "
+        every = {
+            (a, b): d
+            for a in range(len(whole))
+            for b in range(a + len(one.text) - one.edits, min(len(whole), a + len(one.text) + one.edits) + 1)
+            if (not one.telling or b" " + one.telling + b" " in whole[max(0, a - 1) : b + 1])
+            and (d := distance(one.text, whole[a:b])) <= one.edits
+        }
+        spans = one.spans(whole)
+        assert all(every[a, b] == d for a, b, d in spans)
+        assert all(x[1] <= y[0] + 1 for x, y in zip(spans, spans[1:]))
+        for (a, b), d in every.items():
+            assert any(x < b and a < y and e <= d for x, y, e in spans)
