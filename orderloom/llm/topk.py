@@ -1,10 +1,11 @@
 """Exact top-k search by inner product: a KD-tree per shard, searched best first.
 
-Vectors are dealt to shards by their ids. Each shard's tree is split at medians and has tight
-boxes. A query visits boxes in the order of the largest inner product a box allows, and stops at
-the first box that cannot better its k-th score. The k-th score found in the query's home shard
-is handed on to all other shards as a bound, so that there only better boxes are opened. Queries
-go to shards in blocks, so a task holds one shard and one block whatever the table's size.
+Vectors are dealt to shards by their ids and components, so rows of one id, or without any, spread
+too. Each shard's tree is split at medians and has tight boxes. A query visits boxes in the order
+of the largest inner product a box allows, and stops at the first box that cannot better its k-th
+score. The k-th score found in the query's home shard is handed on to all other shards as a bound,
+so that there only better boxes are opened. Queries go to shards in blocks, so a task holds one
+shard and one block whatever the table's size.
 
 Components are whole numbers. Scores and bounds are computed in double precision, which is exact
 below 2^53; a shard with larger possible scores is scored in 64-bit integers without bounds.
@@ -141,6 +142,11 @@ def whole(vector: Column) -> Column:
     )
 
 
+def home_shard(shards: int) -> Column:
+    """The shard of a row (vec_id, v). Rows that are distinct in both spread, whatever their ids."""
+    return F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")
+
+
 def top_k(
     table: DataFrame,
     is_query: Column,
@@ -171,7 +177,7 @@ def top_k(
     rows = rows.select(
         "*",
         F.size("v").alias("width"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
+        home_shard(shards).alias("shard"),
         F.xxhash64("v").alias("variant"),
     )
     queries = rows.filter("is_query")

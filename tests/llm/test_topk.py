@@ -74,3 +74,13 @@ def test_empty_table(spark):
 
 def test_large_components_are_scored_in_integers(spark):
     check(spark, [(50 * i, [float(2**18 + i), float(2**17), 1.0]) for i in range(20)])
+
+
+def test_rows_of_one_id_and_without_spread_over_shards(spark):
+    rows = vectors(300, grid=1000)
+    rows = [(50 if i % 3 == 0 else None if i % 3 == 1 else i, v) for i, v in rows]
+    table = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    table = table.select(F.coalesce("vec_id", F.lit(int(topk.NO_ID))).alias("vec_id"), topk.whole(F.col("v")).alias("v"))
+    sizes = [r["count"] for r in table.groupBy(topk.home_shard(10).alias("shard")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 60
+    check(spark, rows, shard=30, block=20)
