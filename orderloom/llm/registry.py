@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import (
     bpe,
+    conversations,
     imatch,
     licenses,
     packing,
@@ -83,6 +84,10 @@ def op10_simhash(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", digits, "component_id")
 
 
+def op11_conversations(spark: SparkSession, root: str) -> DataFrame:
+    return conversations.repair_digests(read(spark, root, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_imatch": op2_imatch,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
+    "op11_conversations": op11_conversations,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,202 @@
+"""Conversation repair against a search over all edits, and damage against plain Python."""
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orderloom.llm import conversations
+
+RIGHT = re.compile(r"(s?(ua)+)?")
+ROWS = T.StructType(
+    [T.StructField(*f) for f in (
+        ("conv_id", T.LongType()), ("turn", T.LongType()), ("role", T.StringType()), ("text", T.StringType()),
+        ("part", T.StringType()), ("place", T.StringType()), ("fault", T.StringType()), ("nth", T.StringType()),
+    )]
+)
+
+
+def cheapest(rows):
+    """(cost, audit) of rows (initial, fault) by trying edits in order of cost, then of initials."""
+    heap = [(0, "", 0, "")]
+    seen = set()
+    while heap:
+        cost, audit, done, initials = heapq.heappop(heap)
+        if done == len(rows) and RIGHT.fullmatch(initials):
+            return cost, audit
+        # What follows depends on the last initial alone.
+        if (done, initials[-1:]) in seen:
+            continue
+        seen.add((done, initials[-1:]))
+        ways = [(3, "I", 0, "u"), (3, "I", 0, "a")]
+        if done < len(rows):
+            initial, fault = rows[done]
+            ways.append((4, "D", 1, ""))
+            if fault not in ("blank", "duplicate"):
+                more = 3 * (fault == "truncated")
+                ways += [(more, "K", 1, initial), (3 + more, "R", 1, "u"), (3 + more, "R", 1, "a")]
+        for price, edit, step, initial in ways:
+            grown = initials + initial
+            if re.fullmatch(r"s?(ua)*u?", grown) and (initial or edit == "D"):
+                heapq.heappush(heap, (cost + price, audit + edit, done + step, grown))
+
+
+def spoilt(rows):
+    """Rows by conversation after damage, in order."""
+    out = {}
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        lines = out.setdefault(conv, [])
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        lines += [(turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    for lines in out.values():
+        def digest(row):
+            return hashlib.sha256(f"{len(row[1])}:{row[1]}{row[2]}".encode()).digest()
+        lines.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], digest(r)))
+    return out
+
+
+def expected(lines):
+    faults, seen = [], set()
+    for _, role, text in lines:
+        body = text.rstrip(" \t\n\x0b\f\r")
+        faults.append(
+            "blank" if not body else "duplicate" if (role, text) in seen
+            else "truncated" if body[-1] not in ".!?" else None
+        )
+        seen.add((role, text))
+    cost, audit = cheapest([(role[:1], fault) for (_, role, _), fault in zip(lines, faults)])
+    made, left, state = [], iter(lines), ""
+    for edit in audit:
+        row = next(left) if edit != "I" else None
+        if edit == "D":
+            continue
+        role = row[1] if edit == "K" else "assistant" if state == "u" else "user"
+        state = role[0]
+        made.append(f"{role}:{row[2] if row else ''}")
+    turns = [t for t, _, _ in lines if t is not None]
+    initials = [role[:1] for _, role, _ in lines]
+    return (
+        max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+        *[faults.count(f) for f in ("blank", "duplicate", "truncated")],
+        sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+        cost, audit, hashlib.sha256("\n".join(made).encode()).hexdigest(),
+    )
+
+
+COLUMNS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def digests(df):
+    return {r["conv_id"]: tuple(r[c] for c in COLUMNS) for r in conversations.repair_digests(df).collect()}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "x", "x", "x") for r in rows], ROWS)
+
+
+def test_search_space():
+    """The method finds the least of the cheapest edits for every short conversation."""
+    letters = [(i, f) for i in "sua?" for f in (None, "truncated")] + [("u", "blank")]
+    kinds = {x: conversations.kind_of(*x) for x in letters}
+    chance = random.Random(1)
+    cases = [[x] for x in letters] + [[x, y] for x in letters for y in letters] + [[]]
+    cases += [chance.choices(letters, k=chance.randint(3, 24)) for _ in range(1500)]
+    for case in cases:
+        codes = bytes(kinds[x] for x in case)
+        assert conversations.audit_of(codes, conversations.START, None) == cheapest(case)[1], case
+
+
+def test_segments_meet():
+    """Segments solved between their border states give what the whole gives."""
+    chance = random.Random(2)
+    for _ in range(300):
+        codes = bytes(chance.choices(range(9), k=chance.randint(2, 60)))
+        cuts = sorted(chance.sample(range(1, len(codes)), min(len(codes) - 1, chance.randint(1, 4))))
+        parts = [codes[a:b] for a, b in zip([0, *cuts], [*cuts, len(codes)])]
+        borders = conversations.border_states([conversations.segment_table(p) for p in parts])
+        pieces = [
+            conversations.audit_of(p, a, b)
+            for p, a, b in zip(parts, borders, [*borders[1:-1], None])
+        ]
+        assert "".join(pieces) == conversations.audit_of(codes, conversations.START, None)
+
+
+def random_rows(seed, conversations_, most, one=0):
+    chance = random.Random(seed)
+    texts = ["Yes.", "no", "", " \n", "Why? ", "a.b", "end!", "x" * 50, "Ünï☃."]
+    roles = ["user", "assistant"] * 5 + ["system", "tool", ""]
+    rows = []
+    for conv in range(conversations_):
+        n = chance.randint(1, most)
+        rows += [(conv, t, chance.choice(roles), chance.choice(texts)) for t in range(n) if chance.random() > 0.1]
+    rows += [(999, t, chance.choice(roles), f"{chance.random()}{chance.choice('.!? ')}") for t in range(one)]
+    chance.shuffle(rows)
+    return rows
+
+
+def test_against_brute_force(spark):
+    rows = random_rows(3, 60, 12, one=700)
+    rows += [(0, 3, None, None), (1, None, "user", "Hi."), (1, None, "user", "Hi."), (None, 0, "user", "Hi."),
+             (None, None, None, None), (None, 2, "assistant", "Ho."), (2, 5, "user", "word " * 60_000)]
+    rows += [(3, 1, "user", "Same.")] * 40
+    want = {c: expected(lines) for c, lines in spoilt(rows).items()}
+    for partitions in (1, 7):
+        assert digests(frame(spark, rows).repartition(partitions)) == want
+
+
+def test_one_conversation_in_many_partitions(spark):
+    rows = random_rows(4, 3, 5, one=3000)
+    want = {c: expected(lines) for c, lines in spoilt(rows).items()}
+    df = frame(spark, rows)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        assert_cut(df, want)
+    finally:
+        spark.conf.unset(merging)
+
+
+def assert_cut(df, want):
+    assert len(conversations.cut_conversations(conversations.ordered(conversations.damaged(df)))) == 1
+    assert digests(df) == want
+
+
+def test_edits_are_right(spark):
+    rows = random_rows(5, 40, 9)
+    edits = conversations.repair(frame(spark, rows)).collect()
+    assert {r["edit"] for r in edits} == set("KRDI")
+    by = {}
+    for r in sorted(edits, key=lambda r: (r["conv_id"], r["part"], r["nth"])):
+        if r["edit"] != "D":
+            by.setdefault(r["conv_id"], []).append(r["role"][0])
+        else:
+            assert r["role"] is None and r["text"] is None
+    assert all(RIGHT.fullmatch("".join(x)) for x in by.values())
+    assert sum(r["edit"] != "I" for r in edits) == len(rows)
+
+
+def test_all_dropped_and_empty(spark):
+    dropped = next((c, 0) for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    found = digests(frame(spark, [(*dropped, "user", "Hi.")]))
+    assert found == {dropped[0]: (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())}
+    assert digests(frame(spark, [])) == {}
+
+
+@pytest.mark.parametrize("root", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_given_tables(spark, root):
+    df = spark.read.parquet(f"{root}/conversations.parquet").withColumn("conv_id", F.col("conv_id").cast("string"))
+    rows = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
+    assert digests(df) == {c: expected(lines) for c, lines in spoilt(rows).items()}

@@ -35,6 +35,8 @@ COLUMNS = {
     "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11_conversations": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, "
+    "illegal bigint, cost bigint, audit string, repaired_sha256 string",
 }
 
 
