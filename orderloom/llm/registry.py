@@ -14,6 +14,7 @@ from orderloom.llm import (
     licenses,
     packing,
     quality,
+    ranked,
     secrets,
     simhash,
     suffixes,
@@ -88,6 +89,10 @@ def op11_conversations(spark: SparkSession, root: str) -> DataFrame:
     return conversations.repair_digests(read(spark, root, "conversations"))
 
 
+def op13_ranked(spark: SparkSession, root: str) -> DataFrame:
+    return ranked.rank_documents(read(spark, root, "documents"), read(spark, root, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_imatch": op2_imatch,
@@ -100,9 +105,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
     "op11_conversations": op11_conversations,
+    "op13_ranked": op13_ranked,
 }
 
 ORACLES: dict[str, str] = {
+    "op13_ranked": ranked.ORACLE,
     "op4_secrets": secrets.ORACLE,
     "op1_topk": """
         WITH good AS (

@@ -12,7 +12,7 @@ ROOT = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_against_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "embeddings", "labels"):
+    for table in ("documents", "embeddings", "labels", "benchmark"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{ROOT}/{table}.parquet'")
     got = registry.QUERIES[name](spark, ROOT)
     want = db.execute(registry.ORACLES[name])
@@ -37,6 +37,7 @@ COLUMNS = {
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op11_conversations": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, "
     "illegal bigint, cost bigint, audit string, repaired_sha256 string",
+    "op13_ranked": "item_id bigint, rank int, doc_id bigint, score bigint",
 }
 
 
