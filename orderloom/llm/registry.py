@@ -11,6 +11,7 @@ from orderloom.llm import (
     bpe,
     conversations,
     imatch,
+    language,
     licenses,
     packing,
     quality,
@@ -89,6 +90,10 @@ def op11_conversations(spark: SparkSession, root: str) -> DataFrame:
     return conversations.repair_digests(read(spark, root, "conversations"))
 
 
+def op12_language(spark: SparkSession, root: str) -> DataFrame:
+    return language.identify(read(spark, root, "documents"))
+
+
 def op13_ranked(spark: SparkSession, root: str) -> DataFrame:
     return ranked.rank_documents(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_simhash": op10_simhash,
     "op11_conversations": op11_conversations,
+    "op12_language": op12_language,
     "op13_ranked": op13_ranked,
 }
 

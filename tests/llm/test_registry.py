@@ -37,6 +37,7 @@ COLUMNS = {
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op11_conversations": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, "
     "illegal bigint, cost bigint, audit string, repaired_sha256 string",
+    "op12_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op13_ranked": "item_id bigint, rank int, doc_id bigint, score bigint",
 }
 
