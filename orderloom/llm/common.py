@@ -38,6 +38,18 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{table}.parquet")
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Column names like these that are not taken; names that differ in case alone are the same."""
+    known = {c.lower() for c in taken}
+    found = []
+    for name in names:
+        while name.lower() in known:
+            name += "_"
+        known.add(name.lower())
+        found.append(name)
+    return found
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns the operators use, under fixed names; a null text is empty."""
     return docs.select(

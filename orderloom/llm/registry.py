@@ -40,7 +40,7 @@ def op2_imatch(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
-    return suffixes.removal_digests(read(spark, root, "documents"))
+    return suffixes.removal_digests(read(spark, root, "documents"), passage=suffixes.PASSAGE)
 
 
 def op4_secrets(spark: SparkSession, root: str) -> DataFrame:

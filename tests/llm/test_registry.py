@@ -25,7 +25,8 @@ COLUMNS = {
     "op1_topk": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op2_imatch": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double",
-    "op3_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op3_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
+    "n_repeated bigint, kept_sha256 string",
     "op4_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op5_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint",

@@ -118,3 +118,52 @@ def test_removal_keeps_columns_and_clean_rows(spark):
     out = suffixes.remove_repeats(docs(spark, rows))
     assert out.columns == docs(spark, []).columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a", 2: "b", 3: "clean", 4: None}
+
+
+def covered(texts, width):
+    return [row[1] for row in expected(texts, width)]
+
+
+@pytest.mark.parametrize("most", [1000, 3, 0])
+def test_shorter_passages_against_brute_force(spark, monkeypatch, most):
+    """Both widths from one sorting, also where keys are cut finer and continuations dealt over shards."""
+    monkeypatch.setattr(suffixes, "MOST_CONTENTS", most)
+    rng = random.Random(5)
+    line = "the very common line of thirty and more bytes "
+    rows = corpus(11, 40) + [(100 + k, line + "".join(rng.choices("abcd ", k=rng.randrange(40)))) for k in range(30)]
+    rows += [(200 + k, t) for k, t in enumerate(PERIODIC)]
+    got = {r["doc_id"]: r for r in suffixes.removal_digests(docs(spark, rows), 40, 16, 24).collect()}
+    texts = [t for _, t in rows]
+    for (i, _), want, short in zip(rows, expected(texts, 40), covered(texts, 24)):
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want
+        assert r.n_repeated == short
+
+
+def test_longest_matches_against_plain_comparison():
+    rng = random.Random(2)
+    for _ in range(20):
+        most = rng.choice([5, 9, 30])
+        texts = [bytes(rng.choices(b"ab", k=rng.randrange(most, 60))) for _ in range(rng.randrange(1, 6))]
+        windows = [rng.randrange(1, len(t) + 1) for t in texts]
+        starts = [(k, i) for k, n in enumerate(windows) for i in range(n)]
+        common = lambda a, b: next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        found = suffixes.longest_matches(texts, windows, most)
+        for k, i in starts:
+            others = [common(texts[k][i:], texts[m][j:]) for m, j in starts if (m, j) != (k, i)]
+            assert found[k][i] == min(most, max(others, default=0))
+
+
+def test_passages_of_over_fifty_words(spark):
+    """Planted passages of 51 to 60 words go, clean texts stay as they are."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(3, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(51 + k % 10) for k in range(20)]
+    rows = [(i, text(80)) for i in range(100)]
+    for k, passage in enumerate(passages):
+        rows += [(1000 + 10 * k + j, f"{text(30)} {passage} {text(30)}") for j in range(2 + k % 3)]
+    out = {r.doc_id: r.text for r in suffixes.remove_repeats(docs(spark, rows), suffixes.PASSAGE).collect()}
+    assert all(out[i] == t for i, t in rows if i < 1000)
+    assert not any(p in t for p in passages for t in out.values())
+    assert sum(len(t) for i, t in rows if i >= 1000) - sum(len(out[i]) for i, _ in rows if i >= 1000) > 0
