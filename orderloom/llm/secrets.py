@@ -2,9 +2,9 @@
 
 Candidates are found by patterns, with their places. Their values are hashed, and each hash is
 counted over the whole corpus by distinct repositories and distinct owners. A value many owners
-have is a copied example; a value one owner has is a live-looking credential if it isn't a
-placeholder; the rest is shared. Besides the values with a telling name or form, long mixed
-strings are candidates, reported where their frequency shows one owner.
+have is a copied example; a value one owner has, in few repositories, is a live-looking credential
+if it isn't a placeholder; the rest is shared. Besides the values with a telling name or form, long mixed
+strings are candidates, reported where their frequency makes them look live.
 
 Defined cases: a null or empty text has no candidates; a null owner is an owner of its own;
 repeated rows are counted once per repository and reported each; a row with a null id counts as
@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.common import fresh
 from orderloom.sources.shared import keep
 
 # The patterns of the base kinds, in order, with the group that is the value.
@@ -30,6 +31,8 @@ BARE = "[A-Za-z0-9+/_=-]{20,}"
 KINDS = ["assign", "access", "hex", "bare"]
 # From so many owners on, a value is a copied example.
 EXAMPLE_OWNERS = 3
+# In so many repositories, a value is passed round even if they all have one owner.
+SHARED_REPOSITORIES = 10
 PLACEHOLDER = "(?i)example|sample|dummy|placeholder|change_?me|your|xxxx|1234567|abcdef|^(.)\\1*$"
 
 
@@ -118,11 +121,17 @@ def findings(
     )
     verdict = (
         F.when(F.col("owners") >= EXAMPLE_OWNERS, "example")
-        .when((F.col("owners") == 1) & ~F.col("value").rlike(PLACEHOLDER), "live")
+        .when(
+            (F.col("owners") == 1)
+            & (F.col("repositories") < SHARED_REPOSITORIES)
+            & ~F.col("value").rlike(PLACEHOLDER),
+            "live",
+        )
         .otherwise("shared")
     )
     judged = (
-        each.join(frequency, "hash")
+        # A table of its own, so that the join may split a value that many rows have.
+        each.join(keep(frequency, "frequency"), "hash")
         .withColumn("verdict", verdict)
         .filter((F.col("kind") < 3) | (F.col("verdict") == "live"))
     )
@@ -167,13 +176,14 @@ def span_digests(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """The rows of `docs` with each secret that isn't a copied example replaced by `mask`."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    row, spans_of = fresh(docs.columns, "row", "spans")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     numbered = keep(numbered, "numbered")
-    found = findings(numbered.select(F.col("_row").alias("doc_id"), "text", "source"))
+    found = findings(numbered.select(F.col(row).alias("doc_id"), "text", "source"))
     secret = F.filter("found", lambda m: m["verdict"] != "example")
     spans = F.transform(secret, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
-    found = found.select(F.col("doc_id").alias("_row"), spans.alias("_spans"))
-    found = found.filter(F.size("_spans") > 0)
+    found = found.select(F.col("doc_id").alias(row), spans.alias(spans_of))
+    found = found.filter(F.size(spans_of) > 0)
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -185,10 +195,10 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
             F.when(fresh, F.concat(state["out"], before, F.lit(mask))).otherwise(state["out"]).alias("out"),
         )
 
-    done = F.aggregate("_spans", start, step)
+    done = F.aggregate(spans_of, start, step)
     rest = F.substring(text, done["at"] + 1, F.length(text))
-    changed = F.when(F.col("_spans").isNotNull(), F.concat(done["out"], rest)).otherwise(text)
-    out = numbered.join(found, "_row", "left").withColumn("text", changed)
+    changed = F.when(F.col(spans_of).isNotNull(), F.concat(done["out"], rest)).otherwise(text)
+    out = numbered.join(found, row, "left").withColumn("text", changed)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
@@ -233,11 +243,13 @@ ORACLE = f"""
           AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row_no = spans.row_no
                           AND b.low < spans.low + spans.size AND spans.low < b.high)),
     frequency AS (
-        SELECT value, count(DISTINCT owner) AS owners FROM every JOIN docs USING (row_no) GROUP BY value),
+        SELECT value, count(DISTINCT owner) AS owners,
+               count(DISTINCT coalesce(doc_id::VARCHAR, '')) AS repositories
+        FROM every JOIN docs USING (row_no) GROUP BY value),
     kept AS (
         SELECT every.*, [{", ".join(f"'{k}'" for k in KINDS)}][kind + 1] || ':' || low::BIGINT || ':' || high::BIGINT AS name
         FROM every JOIN frequency USING (value)
-        WHERE kind < 3 OR owners = 1 AND NOT regexp_matches(value, {_sql(PLACEHOLDER.rpartition("|")[0])})
+        WHERE kind < 3 OR owners = 1 AND repositories < {SHARED_REPOSITORIES} AND NOT regexp_matches(value, {_sql(PLACEHOLDER.rpartition("|")[0])})
               AND replace(value, value[1], '') <> ''),
     listed AS (
         SELECT row_no, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,

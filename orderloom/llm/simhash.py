@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import id_and_text, map_texts
+from orderloom.llm.common import fresh, id_and_text, map_texts
 from orderloom.llm.components import components
 from orderloom.sources.shared import keep
 
@@ -196,9 +196,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of `docs`, one of each component: that with the smallest id (nulls last)."""
+    name, of, key = fresh(docs.columns, "mark", "of", "key")
     mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    marked = docs.withColumn("_mark", mark)
-    every = map_marked(marked, shingle)
+    marked = docs.withColumn(name, mark)
+    every = map_marked(marked.select("doc_id", "text", F.col(name).alias("mark")), shingle)
     every = keep(every, "fingerprints")
     distinct = every.select("fp").distinct()
     found = components(links(distinct, radius)).withColumnRenamed("node", "fp")
@@ -209,15 +210,15 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
         .join(found, "fp", "left")
         .groupBy(F.coalesce("root", "fp").alias("root"))
         .agg(F.min("rank").alias("rank"))
-        .select(F.col("rank.doc_id").alias("_id"), F.col("rank.mark").alias("_key"))
+        .select(F.col("rank.doc_id").alias(of), F.col("rank.mark").alias(key))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(name) == F.col(key))
     kept = marked.join(chosen, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_mark"]).drop("_mark")
+    return kept.dropDuplicates(["doc_id", name]).select(*docs.columns)
 
 
 def map_marked(marked: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, mark and fp of every row of a frame with columns doc_id, text and _mark."""
+    """doc_id, mark and fp of every row of a frame with columns doc_id, text and mark."""
     schema = T.StructType(
         [
             T.StructField("doc_id", marked.schema["doc_id"].dataType),
@@ -231,8 +232,8 @@ def map_marked(marked: DataFrame, shingle: int) -> DataFrame:
             texts = batch.column("text")
             found = np.array([fingerprint(t.as_py() or "", shingle) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_mark"), pa.array(found.view(np.int64))],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(found.view(np.int64))],
                 names=["doc_id", "mark", "fp"],
             )
 
-    return marked.select("doc_id", "text", "_mark").mapInArrow(run, schema)
+    return marked.select("doc_id", "text", "mark").mapInArrow(run, schema)

@@ -92,3 +92,16 @@ def test_sql_says_the_same(spark):
     got = secrets.span_digests(docs(spark, rows)).collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert any("bare" in r.spans for r in got)
+
+
+def test_one_owner_with_many_repositories(spark):
+    """What one owner has in many places is passed round, not live; named secrets are still masked."""
+    often, seldom = "Zq3xV9pLm2Kt7Rw5Yb1Nc8", "Xw4yU8qMk1Ls6Tv3Za9Pd2"
+    rows = [(k, f"see {often} here", "me") for k in range(secrets.SHARED_REPOSITORIES)]
+    rows += [(100 + k, f"see {seldom} here", "me") for k in range(secrets.SHARED_REPOSITORIES - 1)]
+    rows += [(200 + k, "token = often9often8often7", "me") for k in range(secrets.SHARED_REPOSITORIES)]
+    found = {r.doc_id: r.found or [] for r in secrets.findings(docs(spark, rows)).collect()}
+    assert found[0] == [] and found[100][0]["verdict"] == "live"
+    assert found[200][0]["verdict"] == "shared" and found[200][0]["repositories"] == secrets.SHARED_REPOSITORIES
+    masked = {r.doc_id: r.text for r in secrets.redact(docs(spark, rows)).collect()}
+    assert masked[0] == f"see {often} here" and "live" not in masked[200] and "often9" not in masked[200]
