@@ -11,9 +11,10 @@ don't overlap.
 
 from __future__ import annotations
 
-from bisect import bisect
+from bisect import bisect, bisect_left
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -121,13 +122,18 @@ class Notice:
         return found
 
 
-def notice(label: str, text: str, telling: str) -> Notice:
+def notice(label: str, text: str, telling: str = "") -> Notice:
+    """A notice of plain words, lower-cased; `telling` must stand in a match unchanged."""
     return Notice(label, f" {text} ".encode(), min(3, len(text) // 10), telling.encode())
 
 
 SOUGHT = [notice(*n) for n in NOTICES]
 
 
+def known(given: list[tuple[str, str, str]]) -> list[Notice]:
+    return SOUGHT if given == NOTICES else [notice(*n) for n in given]
+
+
 def places(words: bytes, phrase: str) -> list[int]:
     """Every place of a phrase, in bytes, in words that are enclosed by spaces."""
     sought, found = f" {phrase} ".encode(), []
@@ -138,23 +144,32 @@ def places(words: bytes, phrase: str) -> list[int]:
     return found
 
 
-def scan(text: str, sought: list[Notice] = SOUGHT) -> dict:
+def scan(text: str, sought: list[Notice] = SOUGHT, phrases: dict[str, str] = PHRASES) -> dict:
     """Words, exact places and notices of a text; places and spans count words from 0."""
     words = plain_words(text)
     joined = b" " + b" ".join(words) + b" "
-    base = [(joined.count(b" ", 0, at), label) for p, label in PHRASES.items() for at in places(joined, p)]
+    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20).tolist()
+
+    def before(at: int) -> int:
+        """Spaces before a place."""
+        return bisect_left(spaces, at)
+
+    base = [(before(at), label) for p, label in phrases.items() for at in places(joined, p)]
     spans, score = [], 1.0 if base else 0.0
     for one in sought:
         for start, end, edits in one.spans(joined):
             score = max(score, 1 - edits / len(one.text))
-            first = joined.count(b" ", 0, start + 1) - 1
-            last = joined.count(b" ", 0, max(start + 1, end - 1)) - 1
+            first = before(start + 1) - 1
+            last = before(max(start + 1, end - 1)) - 1
             spans.append({"label": one.label, "first": max(0, first), "last": max(0, last), "edits": edits})
     return {"words": len(words), "base": base, "spans": spans, "score": score}
 
 
-def notices(docs: DataFrame) -> DataFrame:
-    """doc_id and spans: label, first and last word and edits of each notice found."""
+def notices(docs: DataFrame, sought: list[tuple[str, str, str]] = NOTICES) -> DataFrame:
+    """doc_id and spans: label, first and last word and edits of each notice found.
+
+    `sought` are triples of label, words, and words that must stand in a match unchanged.
+    """
     item = T.StructType(
         [T.StructField("label", T.StringType())]
         + [T.StructField(c, T.IntegerType()) for c in ("first", "last", "edits")]
@@ -164,18 +179,24 @@ def notices(docs: DataFrame) -> DataFrame:
     )
 
     def run(texts: list[str]) -> list:
-        return [[scan(t)["spans"] for t in texts]]
+        mine = known(sought)
+        return [[scan(t, mine)["spans"] for t in texts]]
 
     return map_texts(id_and_text(docs), run, [("spans", kind, T.ArrayType(item))])
 
 
-def labels(docs: DataFrame) -> DataFrame:
+def labels(
+    docs: DataFrame,
+    sought: list[tuple[str, str, str]] = NOTICES,
+    phrases: dict[str, str] = PHRASES,
+) -> DataFrame:
     """n_words, places and labels of the exact phrases, all labels and a score for every row."""
 
     def run(texts: list[str]) -> list:
         out = []
+        mine = known(sought)
         for text in texts:
-            found = scan(text)
+            found = scan(text, mine, phrases)
             starts = [at for at, _ in found["base"]]
             base = {label for _, label in found["base"]}
             every = base | {s["label"] for s in found["spans"]}

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 import regex
@@ -119,3 +120,24 @@ def test_spans_against_every_span(seed):
         assert all(x[1] <= y[0] + 1 for x, y in zip(spans, spans[1:]))
         for (a, b), d in every.items():
             assert any(x < b and a < y and e <= d for x, y, e in spans)
+
+
+def test_other_notices_and_phrases(spark):
+    rows = [(1, "Sold as is, whithout any warranty at all."), (2, "Under the MIT license; do not copy")]
+    sought = [("as-is", "sold as is without any warranty", "warranty")]
+    found = {r.doc_id: r for r in licenses.labels(docs(spark, rows), sought, {"do not copy": "closed"}).collect()}
+    assert (found[1].labels, found[1].base_labels, found[1].score < 1) == ("as-is", "", True)
+    assert (found[2].labels, found[2].base_labels, found[2].first_word) == ("closed", "closed", 4)
+    assert licenses.notices(docs(spark, rows), sought).filter("size(spans) = 1").count() == 1
+
+
+def test_time_follows_the_text():
+    """Ten times the hits take about ten times as long, not a hundred times."""
+    one = "Licensed under the Apache License, Version 2.0 and all rights reserved. "
+    took = []
+    for times in (2_000, 20_000):
+        start = time.perf_counter()
+        found = licenses.scan(one * times)
+        took.append(time.perf_counter() - start)
+        assert len(found["base"]) == times
+    assert took[1] < 30 * took[0]
