@@ -15,20 +15,21 @@ subsets of a size that hold a term of either text, for the size that shows most.
 
 Defined cases: a text without terms from the lexicon is hashed whole, and is like another only if
 both have the same words; a null or empty text has no words; the next document of a repeated id
-is the next row by text hash; null ids come last; the last document's next is the first.
+is the next row by text hash; ids that are text are ordered as text; null ids come last; the last document's next is the first.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,6 +181,8 @@ def in_order(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if isinstance(docs.schema["doc_id"].dataType, T.StringType):
+        return in_text_order(docs, partitions)
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     # The highest ids of ranges, a set number of ids for each partition: with many ranges to a
     # task, tasks get about equal shares.
@@ -201,7 +204,32 @@ def in_order(docs: DataFrame) -> DataFrame:
             [[2 * b, 2 * p + 1] if f else [2 * b] for b, p, f in zip(bucket.tolist(), before.tolist(), first)]
         )
 
-    placed = docs.select("doc_id", "text", number.alias("id")).withColumn("place", F.explode(places("id")))
+    return dealt(docs.select("doc_id", "text", number.alias("id")), places)
+
+
+def in_text_order(docs: DataFrame, partitions: int) -> DataFrame:
+    """`in_order` for ids that are text: a range per partition, null ids in the lowest."""
+    number = F.coalesce(F.concat(F.lit("1"), F.col("doc_id")), F.lit("0"))
+    ids = docs.select(number.alias("id")).repartitionByRange(partitions, F.col("id").desc())
+    tops = ids.groupBy(F.spark_partition_id().alias("part")).agg(F.max("id").alias("top"))
+    ascending = sorted({r["top"] for r in tops.collect()})
+
+    @F.pandas_udf("array<long>")
+    def places(id_: pd.Series) -> pd.Series:
+        n, found = len(ascending), []
+        for one in id_:
+            # Ranges whose highest id is no lower than this one; encoded as above.
+            at = bisect_left(ascending, one)
+            bucket = n - at - 1
+            first = ascending[at] == one
+            found.append([2 * bucket, 2 * ((bucket - 1) % n) + 1] if first else [2 * bucket])
+        return pd.Series(found)
+
+    return dealt(docs.select("doc_id", "text", number.alias("id")), places)
+
+
+def dealt(rows: DataFrame, places: Callable[[str], Column]) -> DataFrame:
+    placed = rows.withColumn("place", F.explode(places("id")))
     placed = placed.select(
         F.shiftright("place", 1).alias("bucket"), (F.col("place") % 2).alias("role"), "id", "doc_id", "text"
     )

@@ -86,3 +86,16 @@ def test_near_copies_of_very_long_texts(spark, n):
     assert len(got) == 6
     assert all(r.near_edited > 0 for r in got)
     assert all(r.near_next == 0 for r in got)
+
+
+@pytest.mark.parametrize("n", [1, 3, 200])
+def test_ids_that_are_text(spark, n):
+    """Ordered as text, a null id last; the last document's next is the first."""
+    rows = [(f"id-{(37 * k) % 1009}", f"text {k} é " * (k % 7)) for k in range(n)] + [(None, "without id")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    ordered = sorted(rows[:-1], reverse=True) + rows[-1:]
+    want = {}
+    for (i, t), (_, follow) in zip(ordered, ordered[1:] + ordered[:1]):
+        third = len(t) // 3
+        want[i] = hashlib.sha256((t[: len(t) - third] + follow[:third]).encode()).hexdigest()
+    assert {r.doc_id: r.edited_sha256 for r in imatch.edit_digests(frame).collect()} == want
