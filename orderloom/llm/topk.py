@@ -8,7 +8,8 @@ so that there only better boxes are opened. Queries go to shards in blocks, so a
 shard and one block whatever the table's size.
 
 Components are whole numbers. Scores and bounds are computed in double precision, which is exact
-below 2^53; a shard with larger possible scores is scored in 64-bit integers without bounds.
+below 2^53; a shard with larger possible scores is scored in 64-bit integers without bounds. If
+vectors that are compared could have scores of 2^63 or more, an ArithmeticError says so at once.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; vectors
 are compared with vectors of their length only; a row with a null id is a candidate, behind equal
@@ -142,6 +143,18 @@ def whole(vector: Column) -> Column:
     )
 
 
+def check_range(rows: DataFrame) -> None:
+    """Raise if two of the rows (v, copies, is_query) could have a score that 64 bits don't hold."""
+    peak = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    widths = rows.groupBy(F.size("v").alias("width")).agg(
+        F.max(peak).alias("peak"), F.sum("copies").alias("rows"), F.max("is_query").alias("asked")
+    )
+    compared = widths.filter("rows > 1 and asked")
+    largest = compared.agg(F.max(F.col("width") * F.col("peak") * F.col("peak"))).first()[0]
+    if largest is not None and largest >= 2.0**63:
+        raise ArithmeticError(f"scores may reach {largest:.3g}, which 64 bits don't hold")
+
+
 def home_shard(shards: int) -> Column:
     """The shard of a row (vec_id, v). Rows that are distinct in both spread, whatever their ids."""
     return F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")
@@ -169,6 +182,7 @@ def top_k(
         .withColumn("vec_id", F.coalesce("vec_id", F.lit(int(NO_ID))))
     )
     rows = keep(rows, "vectors")
+    check_range(rows)
     n = rows.agg(F.count("*").alias("rows"), F.sum(F.col("is_query").cast("long")).alias("queries")).first()
     shards = max(1, -(-n["rows"] // shard))
     blocks = max(1, -(-(n["queries"] or 0) // block))

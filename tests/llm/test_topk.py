@@ -65,7 +65,14 @@ def test_awkward_rows(spark):
         (300, [math.nan] * 6), (350, [math.inf] * 6), (400, [0.5]), (None, [1.0] * 6), (None, [1.0] * 6),
         (50, [1.0] * 6), (50, [1.0] * 6), (50, [-1.0] * 6), (450, [1e30] * 2),
     ]
-    check(spark, rows[:-1])
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("large", [1e30, 1e17, 3e7])
+def test_scores_beyond_64_bits_are_refused(spark, large):
+    table = spark.createDataFrame([(50, [large] * 3, "x", 1), (51, [large] * 3, "x", 1)], SCHEMA)
+    with pytest.raises(ArithmeticError, match="64 bits"):
+        topk.top_k(table, F.col("vec_id") % 50 == 0, 5)
 
 
 def test_empty_table(spark):
