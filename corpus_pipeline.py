@@ -30,8 +30,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes or more that stand elsewhere too are cut out of the texts."""
-    return suffixes.remove_repeats(docs)
+    """Passages that stand elsewhere too are cut out of the texts.
+
+    Those of PASSAGE bytes or more, which any passage of over 50 words has.
+    """
+    return suffixes.remove_repeats(docs, suffixes.PASSAGE)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
