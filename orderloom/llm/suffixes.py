@@ -292,7 +292,7 @@ def common_prefixes(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -
         end = np.flatnonzero(differ)
         if len(end):
             low = differ[end] & -differ[end]
-            found[left[end]] = k + np.bitwise_count(low - np.uint64(1)) // 8
+            found[left[end]] = k + np.bitwise_count(low - np.uint64(1)).astype(np.int64) // 8
             left = left[differ == 0]
         if not len(left):
             break
