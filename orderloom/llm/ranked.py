@@ -40,7 +40,7 @@ from orderloom.sources.shared import keep
 
 TOP = 50
 # Documents of a block at most, and (document, term) pairs after which it is full.
-DOCS, PAIRS = 2048, 1 << 19
+DOCS, PAIRS = 1024, 1 << 18
 # Rows a term sets in a signature, and rows a signature has for each term of its largest document.
 HASHES, SPARE = 3, 8
 # Occurrences from which a term is on each level.
@@ -51,6 +51,8 @@ FIRST = 32
 ITEM_BYTES = 4 << 20
 RESCORED = 256
 
+BLOBS = ("words", "df", "bits", "per_doc", "terms", "times")
+
 
 def hashes(terms: list[bytes]) -> np.ndarray:
     """64 bits per term and row it sets, for its first level."""
@@ -72,18 +74,22 @@ def rows_of(h: np.ndarray, level: int, size: int) -> np.ndarray:
 
 
 class Block:
-    """Documents not yet indexed, all of one size class."""
+    """Documents not yet indexed, all of one size class; terms are held as places in a list."""
 
     def __init__(self) -> None:
         self.ids: list = []
-        self.counts: list[Counter] = []
+        self.place: dict[bytes, int] = {}
+        self.terms: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
         self.pairs = 0
 
     def add(self, doc_id: object, counts: Counter) -> bool:
         """Whether the block is full with this document."""
+        place, n = self.place, len(counts)
         self.ids.append(doc_id)
-        self.counts.append(counts)
-        self.pairs += len(counts)
+        self.terms.append(np.fromiter((place.setdefault(t, len(place)) for t in counts), np.int32, n))
+        self.times.append(np.fromiter(counts.values(), np.int32, n))
+        self.pairs += n
         return len(self.ids) == DOCS or self.pairs >= PAIRS
 
 
@@ -102,53 +108,60 @@ def signed(terms: np.ndarray, times: np.ndarray, docs: np.ndarray, h: np.ndarray
     return size, np.packbits(bits, axis=1).tobytes()
 
 
+def packed(values: np.ndarray) -> bytes:
+    return zlib.compress(values.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: type = np.int32) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
+def words_of(row: dict) -> list[bytes]:
+    """The vocabulary of a block, in order."""
+    return zlib.decompress(row["words"]).split()
+
+
 def indexed(block: Block) -> dict:
     """A row of the index: see `index`."""
-    place: dict[bytes, int] = {}
-    for counts in block.counts:
-        for term in counts:
-            place.setdefault(term, len(place))
-    sizes = np.array([len(c) for c in block.counts], np.int32)
-    terms = np.fromiter((place[t] for c in block.counts for t in c), np.int32, block.pairs)
-    times = np.fromiter((k for c in block.counts for k in c.values()), np.int32, block.pairs)
+    vocabulary = list(block.place)
+    sizes = np.array([len(t) for t in block.terms], np.int32)
+    terms, times = np.concatenate(block.terms), np.concatenate(block.times)
     docs = np.repeat(np.arange(len(sizes)), sizes)
-    size, bits = signed(terms, times, docs, hashes(list(place)), len(sizes))
+    size, bits = signed(terms, times, docs, hashes(vocabulary), len(sizes))
     return {
         "ids": block.ids,
         "lengths": np.add.reduceat(times.astype(np.int64), np.cumsum(sizes) - sizes).tolist(),
-        "vocabulary": list(place),
-        "df": np.bincount(terms, minlength=len(place)).tolist(),
+        "words": zlib.compress(b" ".join(vocabulary), 1),
+        "df": packed(np.bincount(terms, minlength=len(vocabulary)).astype(np.int32)),
         "size": size,
         "bits": bits,
-        "per_doc": sizes.tobytes(),
-        "terms": terms.tobytes(),
-        "times": times.tobytes(),
+        "per_doc": packed(sizes),
+        "terms": packed(terms),
+        "times": packed(times),
     }
 
 
 def index(docs: DataFrame) -> DataFrame:
     """The index of the documents that have a term: a row per block.
 
-    ids, lengths (all terms, with repeats) by document; vocabulary, df (documents of the block that
-    have it) by term; size and bits of the signature; per_doc (distinct terms of each document),
-    terms and times (each pair's place in the vocabulary, and occurrences) as 32-bit integers.
+    ids, lengths (all terms, with repeats) by document; words (the vocabulary, joined by spaces), df
+    (documents of the block that have it) by term; size and bits of the signature; per_doc (distinct
+    terms of each document), terms and times (each pair's place in the vocabulary, and occurrences).
+    Numbers are 32-bit integers; all but the bits are compressed.
     """
     texts = id_and_text(docs)
     schema = T.StructType(
         [
             T.StructField("ids", T.ArrayType(id_type(docs))),
             T.StructField("lengths", T.ArrayType(T.LongType())),
-            T.StructField("vocabulary", T.ArrayType(T.BinaryType())),
-            T.StructField("df", T.ArrayType(T.LongType())),
             T.StructField("size", T.LongType()),
         ]
-        + [T.StructField(c, T.BinaryType()) for c in ("bits", "per_doc", "terms", "times")]
+        + [T.StructField(c, T.BinaryType()) for c in BLOBS]
     )
     kind = docs.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
     arrow = pa.schema(
-        [("ids", pa.list_(kind)), ("lengths", pa.list_(pa.int64())), ("vocabulary", pa.list_(pa.binary()))]
-        + [("df", pa.list_(pa.int64())), ("size", pa.int64())]
-        + [(c, pa.binary()) for c in ("bits", "per_doc", "terms", "times")]
+        [("ids", pa.list_(kind)), ("lengths", pa.list_(pa.int64())), ("size", pa.int64())]
+        + [(c, pa.binary()) for c in BLOBS]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,12 +240,12 @@ def search_block(queries: Queries, row: dict, n: int, total: int, best: list[Bes
     # The most a term of a level can give: the next level's occurrences less one.
     caps = [gain(least - 1, m) for least in LEVELS[1:]] + [np.full(len(ids), 1_000_000, np.int64)]
     steps = [caps[0]] + [b - a for a, b in zip(caps, caps[1:])]
-    sizes = np.frombuffer(row["per_doc"], np.int32).astype(np.int64)
+    sizes = unpacked(row["per_doc"]).astype(np.int64)
     ends = np.cumsum(sizes)
     place = {t: k for k, t in enumerate(queries.terms)}
-    known = np.array([place.get(t, -1) for t in row["vocabulary"]], np.int64)
+    known = np.array([place.get(t, -1) for t in words_of(row)], np.int64)
     # Each pair's term as a place among the queries' terms, -1 if in none.
-    terms, times = known[np.frombuffer(row["terms"], np.int32)], np.frombuffer(row["times"], np.int32)
+    terms, times = known[unpacked(row["terms"])], unpacked(row["times"])
     weight = np.zeros(len(queries.terms) + 1, np.int64)
     scored = 0
     for item, mine in zip(queries.items, best):
@@ -309,17 +322,21 @@ def item_blocks(items: DataFrame) -> Iterator[list]:
 
 
 def frequencies(blocks: DataFrame, terms: list[bytes]) -> dict[bytes, int]:
-    """The number of documents that have each of the terms, of one block of items."""
-    spark = blocks.sparkSession
-    wanted = spark.createDataFrame([(t,) for t in terms], "term binary")
-    found = (
-        blocks.select(F.explode(F.arrays_zip("vocabulary", "df")).alias("x"))
-        .select(F.col("x.vocabulary").alias("term"), F.col("x.df").alias("df"))
-        .join(wanted, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.sum("df").alias("df"))
-    )
-    return {bytes(r["term"]): r["df"] for r in found.collect()}
+    """The number of documents that have each of the terms, those of one block of items."""
+    place = {t: k for k, t in enumerate(terms)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(terms), np.int64)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                known = np.array([place.get(t, -1) for t in words_of(row)], np.int64)
+                counts[known[known >= 0]] += unpacked(row["df"])[known >= 0]
+        there = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], names=["term", "df"])
+
+    found = blocks.select("words", "df").mapInArrow(run, "term long, df long")
+    return {terms[r["term"]]: r["df"] for r in found.groupBy("term").agg(F.sum("df").alias("df")).collect()}
 
 
 def search(blocks: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
