@@ -40,8 +40,8 @@ from orderloom.sources.shared import keep
 
 WIDTH = 400
 # A passage of more than 50 words is longer than this, by its bytes.
-PASSAGE = 240
-GRAM = 64
+PASSAGE = 256
+GRAM = 32
 LONGEST_RUN = 512
 # Windows of a text looked at together: a longer text is taken in segments, which cut runs.
 SEGMENT = 1 << 20
@@ -247,7 +247,7 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndar
     n = len(text)
     rises = np.flatnonzero(text[1:] != text[:-1])
     # The type of a suffix is that of the end of its run of equal bytes.
-    nxt = np.searchsorted(rises, np.arange(n))
+    nxt = np.concatenate([[0], np.cumsum(text[1:] != text[:-1])]) if n else np.zeros(0, np.int64)
     smaller = np.zeros(n, bool)
     inner = nxt < len(rises)
     end = rises[nxt[inner]]
@@ -287,7 +287,13 @@ def common_prefixes(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -
     words = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
     found = np.full(len(a), most, np.int64)
     left = np.arange(len(a))
+    data = padded.tobytes()
     for k in range(0, most, 8):
+        if k == 64:
+            # What has come so far is mostly the same to the end.
+            pairs = zip(a[left].tolist(), b[left].tolist())
+            same = np.array([data[x : x + most] == data[y : y + most] for x, y in pairs], bool)
+            left = left[~same]
         differ = words[a[left] + k] ^ words[b[left] + k]
         end = np.flatnonzero(differ)
         if len(end):
@@ -307,15 +313,13 @@ def longest_matches(texts: list[bytes], windows: list[int], most: int) -> list[n
     text = np.frombuffer(gap.join(texts) + gap, np.uint8)
     wanted = np.zeros(len(text) + 1, np.int8)
     valid = np.zeros(len(text) + 1, np.int8)
-    falls = np.flatnonzero(text[:-1] < text[1:])
-    for k, n in enumerate(windows):
-        valid[starts[k]] += 1
-        valid[starts[k] + n] -= 1
-        # Up to the first suffix that is certain to be smaller than its successor.
-        past = np.searchsorted(falls, starts[k] + n - 1)
-        last = min(int(falls[past]) if past < len(falls) else len(text) - 1, int(starts[k + 1]) - 1)
-        wanted[starts[k]] += 1
-        wanted[last + 1] -= 1
+    # Up to the first suffix that is certain to be smaller than its successor.
+    falls = np.append(np.flatnonzero(text[:-1] < text[1:]), len(text) - 1)
+    ends = starts[:-1] + np.array(windows, np.int64)
+    last = np.minimum(falls[np.searchsorted(falls, ends - 1)], starts[1:] - 1)
+    for flags, end in ((valid, ends), (wanted, last + 1)):
+        np.add.at(flags, starts[:-1], 1)
+        np.add.at(flags, end, -1)
     valid = np.cumsum(valid[:-1]).astype(bool)
     order = two_stage_order(text, np.cumsum(wanted[:-1]).astype(bool), most)
     order = order[valid[order]]

@@ -12,7 +12,7 @@ from test_secrets import base
 from test_simhash import plain_components, plain_fingerprint
 
 ROOT = "/root/testdata/sf0.001"
-WIDTH = 240  # the stage's own, for passages of over 50 words
+WIDTH = 256  # the stage's own, for passages of over 50 words
 
 
 def without_repeats(texts):
