@@ -23,10 +23,10 @@ from orderloom.operators.replace import replace_rows  # noqa: E402
 from orderloom.plans.wide import build_detail, build_wide  # noqa: E402
 from orderloom.schemas import conform  # noqa: E402
 from orderloom.sources.shared import keep, shared_folder  # noqa: E402
-from orderloom.sources.store import WideStore  # noqa: E402
+from orderloom.sources.store import WideTable  # noqa: E402
 from orderloom.sources.tables import Tables  # noqa: E402
 from orderloom.sources.tpch import order_tables, skewed  # noqa: E402
-from orderloom.streaming import sync  # noqa: E402
+from orderloom.streaming import feed, sync  # noqa: E402
 
 # The test tables span 1995 to 2001, so the cut-off and the last run lie inside that.
 SINCE = datetime.fromisoformat(oracles.SINCE)
@@ -34,6 +34,8 @@ SETTINGS = Settings(
     tat_cutoff=datetime.fromisoformat(oracles.CUTOFF),
     fetched_at=datetime.fromisoformat(oracles.FETCHED_AT),
 )
+# Between SINCE and the last change.
+HALFWAY = datetime(2000, 1, 1)
 INTENDED = Settings(compat=False, tat_cutoff=SETTINGS.tat_cutoff, fetched_at=SETTINGS.fetched_at)
 
 ROW = ["sale_order_item_id", "invoice_item_id", "payment_term", "rsm"]
@@ -146,15 +148,32 @@ def wide_skewed(t: Tables) -> DataFrame:
     return rounded(build_detail(skewed(t), settings=SETTINGS, columns=columns), 4, "payment_score")
 
 
+STORED = ["sale_order_item_id", "invoice_item_id", "sale_order_id", "final_ii_quantity", "fetch_date"]
+
+
+def new_table(spark: SparkSession) -> WideTable:
+    return WideTable(spark, f"{shared_folder(spark)}/orderloom/wide-{uuid.uuid4().hex}", span=10_000)
+
+
 def incremental_run(t: Tables) -> DataFrame:
     """The stored table after a first and a second run of the job, and its mark."""
     spark = t["sale_orders"].sparkSession
-    store = WideStore(spark, f"{shared_folder(spark)}/orderloom/wide-{uuid.uuid4().hex}", span=10_000)
+    store = new_table(spark)
     for now in (SINCE, SETTINGS.fetched_at):
         sync.run(t, store, now, Settings(tat_cutoff=SETTINGS.tat_cutoff))
-    store.vacuum(versions=1)
-    columns = ["sale_order_item_id", "invoice_item_id", "sale_order_id", "final_ii_quantity", "fetch_date"]
-    return store.read().select(*columns).withColumn("mark", F.lit(store.mark()).cast("timestamp_ntz"))
+    return store.read().select(*STORED).withColumn("mark", F.lit(store.mark()).cast("timestamp_ntz"))
+
+
+def streamed_run(t: Tables) -> DataFrame:
+    """The stored table after a first run and two streams of changes, the second one a restart."""
+    spark = t["sale_orders"].sparkSession
+    store = new_table(spark)
+    sync.run(t, store, SINCE, Settings(tat_cutoff=SETTINGS.tat_cutoff))
+    update = feed.updater(t, store, INTENDED)
+    for since, until in ((SINCE, HALFWAY), (HALFWAY, None)):
+        feed.capture(t, f"{store.root}/events", since, until)
+        feed.follow(spark, f"{store.root}/events", f"{store.root}/checkpoint", update)
+    return store.read().select(*STORED)
 
 
 def mode_totals_any_case(t: Tables) -> DataFrame:
@@ -238,6 +257,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "wide_skewed": wide_skewed,
     "changed_orders_by_branch": lambda t: changes.changed_orders_by_branch(t, SINCE, SETTINGS),
     "incremental_run": incremental_run,
+    "streamed_run": streamed_run,
     "installments_by_order": terms.installment_due,
     "commitment_date": lambda t: build_detail(
         t, settings=SETTINGS, columns=ROW + ["payment_commitment_date"]

@@ -492,6 +492,11 @@ RESULTS = {
                CASE WHEN order_id IN ({CHANGED_IDS}) THEN '{FETCHED_AT}' ELSE '{SINCE}' END AS fetch_date,
                '{FETCHED_AT}' AS mark
         FROM due""",
+    "streamed_run": f"""
+        SELECT item_id AS sale_order_item_id, x_id::BIGINT AS invoice_item_id, order_id AS sale_order_id,
+               item_quantity::DOUBLE AS final_ii_quantity,
+               CASE WHEN order_id IN ({INTENDED_IDS}) THEN '{FETCHED_AT}' ELSE '{SINCE}' END AS fetch_date
+        FROM due""",
     "installments_by_order": """
         SELECT sale_order_id, strftime(max(installment_date), '%Y-%m-%d') AS installment_due,
                count(*)::BIGINT AS installments FROM installments GROUP BY sale_order_id""",

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from handmade import add_invoice, add_item, add_line, add_order, make_tables
 from orderloom.schemas import wide_columns, wide_schema
-from orderloom.sources import store as store_module
-from orderloom.sources.shared import names
-from orderloom.sources.store import WideStore
+from orderloom.sources.shared import delete
+from orderloom.sources.store import WideTable
 from orderloom.streaming.sync import run
 
 DAY1, DAY2, DAY3 = (datetime(2023, 6, d) for d in (1, 2, 3))
@@ -41,7 +40,7 @@ def content(store):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return WideStore(spark, str(tmp_path / "wide"), span=10)
+    return WideTable(spark, str(tmp_path / "wide"), span=10)
 
 
 def test_empty_store(store):
@@ -50,62 +49,71 @@ def test_empty_store(store):
     assert store.read().count() == 0
 
 
+def files(store):
+    return set(store.read().inputFiles())
+
+
 def test_replace(spark, store):
     first = {1: [5, 6], 2: [7], 31: [8], -3: [9]}
     store.replace(order_ids(spark, *first), wide_rows(spark, first), DAY1, "a")
     assert content(store) == first and store.mark() == DAY1
-    # Order 1 gets fewer rows, 2 none, 45 is new; 31 and its range are not touched.
+    before = files(store)
+    # Order 1 gets fewer rows, 2 none, 45 is new; 31, -3 and their ranges are not touched.
     store.replace(order_ids(spark, 1, 2, 45), wide_rows(spark, {1: [50], 45: [1]}), DAY2, "b")
     assert content(store) == {1: [50], 31: [8], -3: [9], 45: [1]} and store.mark() == DAY2
-    untouched = [f for f in store.read().inputFiles() if "run=a" in f]
-    assert len(untouched) >= 2
+    assert len(files(store) & before) == 2
     # A range that becomes empty leaves nothing behind.
     store.replace(order_ids(spark, 31), wide_rows(spark, {}), DAY3, "c")
     assert content(store) == {1: [50], -3: [9], 45: [1]}
+    assert not any("id_range=3/" in f for f in files(store))
     store.replace(order_ids(spark, 1, -3, 45), wide_rows(spark, {}), DAY3, "d")
     assert content(store) == {}
     store.advance(DAY1, "e")
     assert store.mark() == DAY1 and content(store) == {}
 
 
-def test_failure_leaves_everything(spark, store, monkeypatch):
+def test_replace_all(spark, store):
     store.replace(order_ids(spark, 1), wide_rows(spark, {1: [5]}), DAY1, "a")
-    with monkeypatch.context() as m:
-        m.setattr(store_module, "_COMMIT_SCHEMA", "broken")
-        with pytest.raises(Exception):
-            store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
-    assert content(store) == {1: [5]} and store.mark() == DAY1
-    for _ in range(2):  # the second time it has been committed already
+    store.replace(None, wide_rows(spark, {2: [6]}), DAY2, "b")
+    assert content(store) == {2: [6]} and store.mark() == DAY2
+
+
+def test_repeated_run(spark, store):
+    for _ in range(2):  # the second time it has been done already
         store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
         assert content(store) == {1: [6]} and store.mark() == DAY2
-    assert store._latest()[0]["version"] == 2
-
-
-def test_vacuum(spark, store):
-    """Old commits and replaced ranges go; what the kept commits have stays."""
-    store.replace(order_ids(spark, 1, 31), wide_rows(spark, {1: [5], 31: [7]}), DAY1, "a")
-    for n, run_name in ((6, "b"), (7, "c")):
-        store.replace(order_ids(spark, 1), wide_rows(spark, {1: [n]}), DAY2, run_name)
-    files = lambda: {f.split("/data/")[1].rsplit("/", 1)[0] for f in store.read().inputFiles()}
-    before = files()
-    store.vacuum(versions=1)
-    assert list(store._versions()) == [3]
-    assert content(store) == {1: [7], 31: [7]} and files() == before
-    assert names(spark, f"{store.root}/data/run=b") in ([], ["_SUCCESS"], ["._SUCCESS.crc", "_SUCCESS"])
-    store.replace(order_ids(spark, 31), wide_rows(spark, {31: [8]}), DAY3, "d")
-    assert content(store) == {1: [7], 31: [8]}
-
-
-def test_two_runs_at_a_time(spark, store, monkeypatch):
-    """Of two runs that start from one version the second fails and leaves nothing."""
+
+
+def test_failure_before_anything_is_replaced(spark, store, monkeypatch):
     store.replace(order_ids(spark, 1), wide_rows(spark, {1: [5]}), DAY1, "a")
-    latest = store._latest()
-    store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
-    monkeypatch.setattr(store, "_latest", lambda: latest)
-    with pytest.raises(Exception, match="already exists"):
-        store.replace(order_ids(spark, 1), wide_rows(spark, {1: [7]}), DAY2, "c")
-    monkeypatch.undo()
-    assert content(store) == {1: [6]}
+    with monkeypatch.context() as m:
+        m.setattr(store, "_tell", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
+    assert content(store) == {1: [5]} and store.mark() == DAY1
+    store.replace(order_ids(spark, 1), wide_rows(spark, {1: [7]}), DAY2, "b")
+    assert content(store) == {1: [7]} and store.mark() == DAY2
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_failure_while_ranges_are_replaced(spark, store, monkeypatch, lost):
+    """The run is finished from what it set down, even if a range has been deleted meanwhile."""
+    first = {1: [5], 2: [4], 31: [8], 45: [9]}
+    store.replace(order_ids(spark, *first), wide_rows(spark, first), DAY1, "a")
+
+    def fail(*_):
+        if lost:
+            delete(spark, f"{store.root}/rows/id_range=0")
+        raise OSError("no space")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_set_mark" if lost else "_apply", fail)
+        with pytest.raises(OSError):
+            store.replace(order_ids(spark, 1, 31), wide_rows(spark, {1: [6]}), DAY2, "b")
+    assert store.mark() == DAY1
+    # The next run, whatever its name, finishes that one first.
+    store.replace(order_ids(spark, 45), wide_rows(spark, {45: [10]}), DAY3, "c")
+    assert content(store) == {1: [6], 2: [4], 45: [10]} and store.mark() == DAY3
 
 
 def test_pruning(spark, store):
@@ -117,6 +125,15 @@ def test_pruning(spark, store):
     assert "EqualTo(order_state,COMPLETED)" in text
 
 
+def test_ranges_prune_files(spark, store):
+    first = {1: [5], 12: [6], 31: [8], -3: [9]}
+    store.replace(order_ids(spark, *first), wide_rows(spark, first), DAY1, "a")
+    some = store.read(low=5, high=35)
+    assert sorted(r["sale_order_id"] for r in some.collect()) == [12, 31]
+    scan = some._jdf.queryExecution().executedPlan().toString()
+    assert "id_range" in scan.partition("PartitionFilters: [")[2].partition("PushedFilters")[0]
+
+
 def source(spark, orders):
     """`orders`: id -> (state, quantity, created)."""
     rows = {}
@@ -150,3 +167,35 @@ def test_runs(spark, store):
     assert run(second, store, now=DAY3).orders == 2
     # Old orders are not found again in compat mode.
     assert content(store) == {1: [5], 2: [60], 31: [7], 4: [8]}
+
+
+def test_first_run_in_batches(spark, store, monkeypatch):
+    """A first run that fails after two batches goes on with the third."""
+    before = datetime(2023, 5, 1)
+    made = source(spark, {n: ("COMPLETED", n % 7 + 1, before) for n in (1, 2, 11, 21, 22, 35, 41)})
+    put, calls = store.put, []
+
+    def failing(rows, ranges, *more):
+        if len(calls) == 2:
+            raise OSError("no space")
+        calls.append(ranges)
+        put(rows, ranges, *more)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "put", failing)
+        with pytest.raises(OSError):
+            run(made, store, now=DAY1, batch_orders=2)
+    assert calls == [[0], [1]] and store.mark() is None and store.begun()[2] == {0, 1}
+    again = []
+    with monkeypatch.context() as m:
+        m.setattr(store, "put", lambda rows, ranges, *more: (again.append(ranges), put(rows, ranges, *more)))
+        done = run(made, store, now=DAY2, batch_orders=2)
+    assert again == [[2], [3, 4]] and done.run.startswith("20230601")
+    # Rows that changed since the first attempt will be found by the next run.
+    assert store.mark() == DAY1 and store.begun() is None
+    whole = WideTable(spark, f"{store.root}-whole", span=10)
+    run(made, whole, now=DAY1)
+    assert content(store) == content(whole)
+    # The rows tell when they were fetched.
+    dates = {r["sale_order_id"]: r["fetch_date"] for r in store.read().collect()}
+    assert dates == {n: DAY1 if n < 20 else DAY2 for n in dates}
