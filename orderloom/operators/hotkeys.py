@@ -9,6 +9,9 @@ without hot keys the plan is a plain join too.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextvars import copy_context
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -18,6 +21,29 @@ Hot = dict[Any, int]
 _SLICE, _SLICES = "_slice", "_slices"
 
 
+class Searches:
+    """Small jobs that a plan needs the results of, run side by side.
+
+    Each is started by name as soon as it is known to be needed; asking for it waits for it.
+    """
+
+    def __init__(self, at_once: int = 8):
+        self._pool = ThreadPoolExecutor(at_once, thread_name_prefix="search")
+        self._found: dict[str, Future] = {}
+
+    def start(self, name: str, search: Callable[..., Any], *args: Any) -> None:
+        self._found[name] = self._pool.submit(copy_context().run, search, *args)
+
+    def __getitem__(self, name: str) -> Any:
+        return self._found[name].result()
+
+    def __enter__(self) -> Searches:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self._pool.shutdown(cancel_futures=True)
+
+
 def hot_keys(df: DataFrame, *columns: str) -> dict[str, Hot]:
     """For each column: keys with more rows than an average shuffle partition -> slices.
 
@@ -51,10 +77,19 @@ def heavy_keys(weights: DataFrame, key: str, weight: str) -> Hot:
     There can be no more such keys than shuffle partitions.
     """
     partitions = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = weights.orderBy(F.desc(weight)).limit(partitions).select(key, weight).collect()
-    total = weights.agg(F.sum(weight)).first()[0] or 0
-    fair = max(total / partitions, 1.0)
-    return {r[0]: min(math.ceil(r[1] / fair) + 1, partitions) for r in first if r[1] > fair}
+    rows = weights.select(F.col(key).alias("key"), F.col(weight).alias("weight"), F.lit(True).alias("single"))
+    total = rows.agg(F.sum("weight").alias("weight")).select(
+        F.lit(None).cast(weights.schema[key].dataType).alias("key"), "weight", F.lit(False).alias("single")
+    )
+    # Both from one job, which computes the weights once.
+    found = rows.orderBy(F.desc("weight")).limit(partitions).unionByName(total).collect()
+    fair = max(next(r["weight"] for r in found if not r["single"]) or 0, 0) / partitions
+    fair = max(fair, 1.0)
+    return {
+        r["key"]: min(math.ceil(r["weight"] / fair) + 1, partitions)
+        for r in found
+        if r["single"] and r["weight"] > fair
+    }
 
 
 def _slices(df: DataFrame, key: str, hot: Hot) -> DataFrame:

@@ -11,7 +11,7 @@ from orderloom.constants import (
     CASH, CHEQUE, INVOICE, LEDGER_ACTIVE, ONLINE, PAYMENT, SETTLED_STATES,
 )
 from orderloom.functions.matching import ends_with, equals, one_of
-from orderloom.operators.hotkeys import attach, hot_keys
+from orderloom.operators.hotkeys import Searches, attach, hot_keys
 from orderloom.settings import Settings
 
 
@@ -34,14 +34,26 @@ def all_entries(tables: Mapping[str, DataFrame], settings: Settings) -> DataFram
     )
 
 
+def payment_keys(tables: Mapping[str, DataFrame], settings: Settings = Settings()) -> dict:
+    """Hot keys of the payment entries and of the mappings."""
+    credits = entries(tables, PAYMENT, settings).select(F.col("ledgerable_id").alias("payment_id"))
+    with Searches() as found:
+        found.start("credits", hot_keys, credits, "payment_id")
+        found.start("mappings", hot_keys, tables["credit_debit_mappings"], "debit_id", "credit_id")
+        return found["credits"] | found["mappings"]
+
+
 def payment_lines(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
+    hot: dict | None = None,
 ) -> DataFrame:
     """One row per settled payment mapped to an invoice.
 
-    Advances and payment modes both read this one chain of joins.
+    Advances and payment modes both read this one chain of joins. `hot` are the `payment_keys`,
+    if they are known.
     """
+    hot = payment_keys(tables, settings) if hot is None else hot
     debits = entries(tables, INVOICE, settings).select(
         F.col("id").alias("debit_id"),
         F.col("ledgerable_id").alias("invoice_id"),
@@ -58,7 +70,6 @@ def payment_lines(
         .select(F.col("id").alias("payment_id"), "mode", F.col("transaction_date").alias("paid_on"))
     )
     mappings = tables["credit_debit_mappings"].select("debit_id", "credit_id", "amount")
-    hot = hot_keys(credits, "payment_id") | hot_keys(mappings, "debit_id", "credit_id")
     credits = attach(credits, payments, "payment_id", hot["payment_id"], ["credit_id"], "inner")
     row = ["debit_id", "credit_id", "amount"]
     lines = attach(mappings, debits, "debit_id", hot["debit_id"], row, "inner")
@@ -92,13 +103,14 @@ def daily_payments(lines: DataFrame, settings: Settings = Settings()) -> DataFra
 def payments_by_invoice(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
+    hot: dict | None = None,
 ) -> DataFrame:
     """Per invoice: advances, totals by mode, and the payments as a list by day.
 
     A day's payments are summed before the list is built, so the list is no longer than
     there are days, however many payments an invoice has.
     """
-    daily = daily_payments(payment_lines(tables, settings), settings)
+    daily = daily_payments(payment_lines(tables, settings, hot), settings)
     listed = F.when(F.col("amount").isNotNull(), F.struct("paid_on", "amount"))
     return daily.groupBy("invoice_id").agg(
         F.sum("advance_amount").alias("advance_amount"),

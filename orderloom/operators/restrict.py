@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ def restricted(
     stay whole.
     """
     found: dict[str, DataFrame] = {}
+    # Searches ask for tables side by side; each is reduced once. A table needs others, never in a circle.
+    locks: dict[str, Lock] = defaultdict(Lock)
 
     def only(frame: DataFrame, column: str, values: DataFrame, value: str | Column) -> DataFrame:
         value = F.col(value) if isinstance(value, str) else value
@@ -45,17 +49,19 @@ def restricted(
         return frame.join(wanted, column, "left_semi").select(*frame.columns)
 
     def load(name: str) -> DataFrame:
-        if name not in found:
-            frame = reduced(name)
-            found[name] = keep(frame, name) if name in _KEPT else frame
-        return found[name]
+        with locks[name]:
+            if name not in found:
+                frame = reduced(name)
+                found[name] = keep(frame, name) if name in _KEPT else frame
+            return found[name]
 
     def invoice_entries() -> DataFrame:
-        if "debits" not in found:
-            debits = entries(tables, INVOICE, settings)
-            lines = load("invoice_items")
-            found["debits"] = keep(only(debits, "ledgerable_id", lines, "invoice_id"), "debits")
-        return found["debits"]
+        with locks["debits"]:
+            if "debits" not in found:
+                debits = entries(tables, INVOICE, settings)
+                lines = load("invoice_items")
+                found["debits"] = keep(only(debits, "ledgerable_id", lines, "invoice_id"), "debits")
+            return found["debits"]
 
     def reduced(name: str) -> DataFrame:
         if name == "sale_orders":

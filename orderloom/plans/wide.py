@@ -25,15 +25,16 @@ from orderloom.functions.matching import class_name, ends_with, equals
 from orderloom.functions.scoring import payment_score
 from orderloom.operators import dimensions, tat, terms
 from orderloom.operators.eligible import eligible_items, eligible_orders
-from orderloom.operators.hotkeys import attach, expand, heavy_keys, hot_keys
-from orderloom.operators.ledger import payments_by_invoice
+from orderloom.operators.hotkeys import Searches, attach, expand, heavy_keys, hot_keys
+from orderloom.operators.ledger import payment_keys, payments_by_invoice
 from orderloom.operators.restrict import restricted
 from orderloom.schemas import wide_schema
 from orderloom.settings import Settings
-from orderloom.sources.shared import keep
 
 Tables = Mapping[str, DataFrame]
 
+_TERMS, _DAYS = "sale_order_payment_terms", "sale_order_payment_term_after_deliveries"
+
 # Output columns that need a group of joins. A group none of whose columns is asked for is
 # left out; joins that can multiply rows are always made.
 _GROUPS = {
@@ -73,26 +74,34 @@ DETAIL_COLUMNS = [
 ]
 
 
-def _repeated(orders: DataFrame, many: DataFrame, count: str, counted: bool) -> DataFrame:
+def _repeated(
+    orders: DataFrame, many: DataFrame, count: str, counted: bool, hot: dict | None = None
+) -> DataFrame:
     """Left join a table with any number of rows per order, adding that number if needed."""
     if counted:
         counts = many.groupBy("sale_order_id").agg(F.count(F.lit(1)).alias(count))
         orders = orders.join(counts, "sale_order_id", "left")
     else:
         orders = orders.withColumn(count, F.lit(None).cast("bigint"))
+    hot = hot_keys(many, "sale_order_id") if hot is None else hot
     # Equal rows get a number, so that a hot order's rows can be told apart and spread.
-    hot = hot_keys(many, "sale_order_id")["sale_order_id"]
     columns = [c for c in many.columns if c != "sale_order_id"]
     numbered = many.groupBy(*many.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))
     ).drop("_n")
     spread = [*columns, "_nth"]
-    return expand(orders, numbered, "sale_order_id", hot, spread).drop("_nth")
+    return expand(orders, numbered, "sale_order_id", hot["sale_order_id"], spread).drop("_nth")
 
 
-def order_headers(tables: Tables, settings: Settings = Settings(), needs=None) -> DataFrame:
+def order_headers(
+    tables: Tables, settings: Settings = Settings(), needs=None, found: Searches | None = None
+) -> DataFrame:
     """Order attributes; `repeats` is the number of rows the order has here."""
     needs = needs or (lambda group: True)
+    if found is None:
+        with Searches() as found:
+            search(tables, settings, needs, found, "orders", "terms", "days", "order_lines")
+            return order_headers(tables, settings, needs, found)
     orders = eligible_orders(tables, settings).select(
         F.col("id").alias("sale_order_id"),
         F.col("sale_order_date").cast("timestamp_ntz").alias("sale_order_date"),
@@ -105,7 +114,7 @@ def order_headers(tables: Tables, settings: Settings = Settings(), needs=None) -
         "branch_id",
         "billing_address",
     )
-    hot = hot_keys(orders, "branch_id", "contactable_id")
+    hot = found["orders"]
     # The decoded address is a column of its own first, so that it is parsed once.
     orders = orders.withColumn("address", decode_address(F.col("billing_address")))
     orders = orders.withColumns(
@@ -142,34 +151,71 @@ def order_headers(tables: Tables, settings: Settings = Settings(), needs=None) -
     if needs("order_tat"):
         orders = orders.join(tat.order_tat(tables, settings), "sale_order_id", "left")
     if needs("invoice_counts") and not settings.compat:
-        orders = orders.join(invoices_per_order(tables, settings), "sale_order_id", "left")
+        counts = invoices_per_order(tables, settings, found["order_lines"])
+        orders = orders.join(counts, "sale_order_id", "left")
 
-    payment_terms = tables["sale_order_payment_terms"].select("sale_order_id", "payment_term")
-    after_days = tables["sale_order_payment_term_after_deliveries"].select(
+    payment_terms = tables[_TERMS].select("sale_order_id", "payment_term")
+    after_days = tables[_DAYS].select(
         "sale_order_id", F.col("no_of_days").alias("payment_after_no_of_days")
     )
     counted = needs("totals")
-    for many, count in ((payment_terms, "n_terms"), (after_days, "n_days")):
-        orders = _repeated(orders, many, count, counted)
+    orders = _repeated(orders, payment_terms, "n_terms", counted, found["terms"])
+    orders = _repeated(orders, after_days, "n_days", counted, found["days"])
     repeats = F.lit(1)
     for count in ("n_terms", "n_days", "contacts"):
         repeats = repeats * F.coalesce(F.col(count), F.lit(1))
     return orders.withColumn("repeats", repeats).drop("n_terms", "n_days", "contacts")
 
 
-def line_keys(tables: Tables) -> dict:
-    """Hot keys of the invoice items, all found in one pass."""
-    return hot_keys(
-        tables["invoice_items"], "sale_order_item_id", "shipment_item_id", "invoice_id"
-    )
+def search(tables: Tables, settings: Settings, needs, found: Searches, *names: str) -> None:
+    """Start the searches for hot keys of the joins that the wanted columns need, or of some of them.
+
+    Each takes one pass over its table, for all keys together.
+    """
+
+    def lines() -> dict:
+        keys = ["sale_order_item_id", "invoice_id", *(["shipment_item_id"] if needs("delivery") else [])]
+        return hot_keys(tables["invoice_items"], *keys)
+
+    def orders() -> dict:
+        keys = ["branch_id", *(["contactable_id"] if needs("customers") else [])]
+        return hot_keys(eligible_orders(tables, settings), *keys)
+
+    def items() -> dict:
+        keys = ["saleable_id", *(["itemParentable_id"] if needs("meta") else [])]
+        return hot_keys(eligible_items(tables, settings), *keys) if needs("products") else {}
+
+    def order_lines() -> dict:
+        if settings.compat or not needs("invoice_counts"):
+            return {}
+        return hot_keys(tables["invoice_items"], "sale_order_item_id", "invoice_id")
+
+    searches: dict[str, tuple] = {
+        # The longest first.
+        "heavy": (heavy_orders, tables, settings),
+        "lines": (lines,),
+        "orders": (orders,),
+        "items": (items,),
+        "payments": (lambda: payment_keys(tables, settings) if needs("payments") else {},),
+        "shipped": (lambda: hot_keys(tables["shipment_items"], "shipment_id") if needs("delivery") else {},),
+        "terms": (lambda: hot_keys(tables[_TERMS], "sale_order_id"),),
+        "days": (lambda: hot_keys(tables[_DAYS], "sale_order_id"),),
+        "order_lines": (order_lines,),
+    }
+    for name in names or searches:
+        found.start(name, *searches[name])
 
 
 def invoice_lines(
-    tables: Tables, settings: Settings = Settings(), hot: dict | None = None, needs=None
+    tables: Tables, settings: Settings = Settings(), needs=None, found: Searches | None = None
 ) -> DataFrame:
     """Invoice items with their invoice, its payments and the first delivery."""
     needs = needs or (lambda group: True)
-    hot = line_keys(tables) if hot is None else hot
+    if found is None:
+        with Searches() as found:
+            search(tables, settings, needs, found, "lines", "shipped", "payments")
+            return invoice_lines(tables, settings, needs, found)
+    hot = found["lines"]
     lines = tables["invoice_items"].select(
         "sale_order_item_id",
         F.col("id").alias("invoice_item_id"),
@@ -192,16 +238,15 @@ def invoice_lines(
         F.col("net_total").alias("invoice_net_total"),
     )
     if needs("payments"):
-        invoices = invoices.join(payments_by_invoice(tables, settings), "invoice_id", "left")
+        invoices = invoices.join(payments_by_invoice(tables, settings, found["payments"]), "invoice_id", "left")
 
     if needs("delivery"):
         shipped = tables["shipment_items"].select(
             F.col("id").alias("shipment_item_id"), "shipment_id"
         )
-        per_shipment = hot_keys(shipped, "shipment_id")["shipment_id"]
         shipped = attach(
             shipped, tat.first_delivery(tables, settings), "shipment_id",
-            per_shipment, ["shipment_item_id"],
+            found["shipped"]["shipment_id"], ["shipment_item_id"],
         ).drop("shipment_id")
         lines = attach(lines, shipped, "shipment_item_id", hot["shipment_item_id"], row)
     lines = attach(lines, invoices, "invoice_id", hot["invoice_id"], row)
@@ -232,10 +277,10 @@ def heavy_orders(tables: Tables, settings: Settings = Settings()) -> dict:
         .groupBy("sale_order_id")
         .agg(F.sum(F.coalesce(F.col("item_lines"), F.lit(1))).alias("weight"))
     )
-    return heavy_keys(keep(weights, "order_weights"), "sale_order_id", "weight")
+    return heavy_keys(weights, "sale_order_id", "weight")
 
 
-def invoices_per_order(tables: Tables, settings: Settings = Settings()) -> DataFrame:
+def invoices_per_order(tables: Tables, settings: Settings, hot: dict) -> DataFrame:
     """Number of different invoices per order, over eligible items."""
     items = eligible_items(tables, settings).select(
         F.col("id").alias("sale_order_item_id"), "sale_order_id"
@@ -243,7 +288,6 @@ def invoices_per_order(tables: Tables, settings: Settings = Settings()) -> DataF
     lines = tables["invoice_items"].select(
         F.col("id").alias("invoice_item_id"), "sale_order_item_id", "invoice_id"
     )
-    hot = hot_keys(lines, "sale_order_item_id", "invoice_id")
     per_item = attach(
         lines, items, "sale_order_item_id", hot["sale_order_item_id"], ["invoice_item_id"], "inner"
     )
@@ -258,9 +302,15 @@ def invoices_per_order(tables: Tables, settings: Settings = Settings()) -> DataF
     )
 
 
-def order_items(tables: Tables, settings: Settings = Settings(), needs=None) -> DataFrame:
+def order_items(
+    tables: Tables, settings: Settings = Settings(), needs=None, found: Searches | None = None
+) -> DataFrame:
     """Eligible items with their product attributes."""
     needs = needs or (lambda group: True)
+    if found is None:
+        with Searches() as found:
+            search(tables, settings, needs, found, "items")
+            return order_items(tables, settings, needs, found)
     anyhow = settings.ignore_case
     is_customized = ends_with(F.col("saleable_type"), CUSTOMIZED_BOOK, anyhow)
     items = eligible_items(tables, settings).select(
@@ -277,7 +327,7 @@ def order_items(tables: Tables, settings: Settings = Settings(), needs=None) ->
     )
     row = ["sale_order_item_id"]
     if needs("products"):
-        hot = hot_keys(items, "saleable_id", "itemParentable_id")
+        hot = found["items"]
         for products in (dimensions.edition_products(tables), dimensions.customized_books(tables)):
             items = attach(items, products, "saleable_id", hot["saleable_id"], row)
         # Books only apply to customised items; edition products apply to any item whose
@@ -344,20 +394,26 @@ def build_detail(
 
     if ids is not None:
         tables = restricted(tables, ids, settings)
-    rows = order_items(tables, settings, needs)
+    with Searches() as found:
+        search(tables, settings, needs, found)
+        return _joined(tables, settings, needs, found, wanted)
+
+
+def _joined(tables: Tables, settings: Settings, needs, found: Searches, wanted: list[str]) -> DataFrame:
+    """The joins of `build_detail`, cut where the searches found hot keys."""
+    wide = wide_schema()
+    rows = order_items(tables, settings, needs, found)
     if needs("totals"):
         totals = item_totals(tables).drop("item_lines")
         rows = rows.join(totals, "sale_order_item_id", "left")
-    hot = line_keys(tables)
-    lines = invoice_lines(tables, settings, hot, needs)
+    lines = invoice_lines(tables, settings, needs, found)
     row = ["sale_order_item_id", "invoice_item_id"]
-    rows = expand(rows, lines, "sale_order_item_id", hot["sale_order_item_id"], row[1:])
+    hot = found["lines"]["sale_order_item_id"]
+    rows = expand(rows, lines, "sale_order_item_id", hot, row[1:])
     # The order attributes come last, so that they and the repeats they bring are only
     # shuffled at order grain.
-    headers = order_headers(tables, settings, needs)
-    rows = attach(
-        rows, headers, "sale_order_id", heavy_orders(tables, settings), row, "inner"
-    )
+    headers = order_headers(tables, settings, needs, found)
+    rows = attach(rows, headers, "sale_order_id", found["heavy"], row, "inner")
     types = {f.name: f.dataType.simpleString() for f in wide}
     typed = [f"cast({c} as {types[c]}) as {c}" if c in types else c for c in wanted]
     return _finish(rows, settings, needs).selectExpr(*typed)
