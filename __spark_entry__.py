@@ -230,6 +230,27 @@ def cc_share(t: Tables) -> DataFrame:
     return rounded(kpis.cc_share(wide), 6, "cc_percentage")
 
 
+def stored_figures(t: Tables) -> DataFrame:
+    """The figures over the stored table, asked in SQL under the names that reports use."""
+    spark = t["sale_orders"].sparkSession
+    store = new_table(spark)
+    store.replace(None, build_wide(t, settings=SETTINGS), SINCE, "first")
+    kpis.report_view(store.read(), "regular_orders")
+    found = spark.sql("""
+        with orders as (
+            select max(final_invoice_total_with_tax) as total, sum(total_unit_price_without_tax) as value
+            from regular_orders where order_state <> 'CANCELLED' group by sale_order_id)
+        select avg(double(total)) as average_with_tax, avg(double(value)) as average_without_tax,
+               (select avg(double(sale_order_item_discount_percentage)) from regular_orders
+                where is_dc = 1 and final_invoice_total_with_tax > 0 and order_state <> 'CANCELLED')
+                   as average_discount,
+               (select double(sum(total_ii_quanity) filter (where invoice_prefix = 'CC'))
+                       / double(sum(total_ii_quanity)) * 100
+                from regular_orders where order_state <> 'CANCELLED') as cc_percentage
+        from orders""")
+    return rounded(found, 6, *found.columns)
+
+
 def changed_rows(found: Callable, t: Tables) -> DataFrame:
     counted = found(t, SETTINGS, changes=(SINCE, "created_at"))
     return counted.select("sale_order_id", F.col("changed_rows").cast("bigint").alias("changed_rows"))
@@ -250,6 +271,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "shipment_changes": lambda t: changed_rows(tat.shipment_tat, t),
     "order_changes": lambda t: changed_rows(tat.order_tat, t),
     "shipment_span": shipment_span,
+    "payment_lists": lambda t: ledger.payment_lists(ledger.payment_lines(t, SETTINGS)),
+    "installment_lists": terms.installment_texts,
+    "stored_figures": stored_figures,
     "payment_rows": lambda t: ledger.payment_lines(t, SETTINGS),
     "installment_rows": terms.installments,
     "mode_totals_any_case": mode_totals_any_case,

@@ -203,20 +203,18 @@ TABLES = {
         GROUP BY o.id HAVING days IS NOT NULL""",
     "plans": r"""
         SELECT p.sale_order_id, max(p.installment_date) AS last_date,
-               string_agg(p.installment_date::VARCHAR, ',' ORDER BY p.installment_date) AS dates,
-               string_agg(p.amount::DECIMAL(18,2)::VARCHAR, ',' ORDER BY p.installment_date) AS amounts
-        FROM (SELECT sale_order_id, installment_date, sum(amount) AS amount FROM installments
-              GROUP BY sale_order_id, installment_date) p
+               string_agg(p.installment_date::VARCHAR, ',' ORDER BY p.installment_date, p.amount) AS dates,
+               string_agg(p.amount::DECIMAL(18,2)::VARCHAR, ',' ORDER BY p.installment_date, p.amount) AS amounts
+        FROM installments p
         JOIN sale_orders o ON o.id = p.sale_order_id AND o.state <> 'CANCELLED'
         GROUP BY p.sale_order_id""",
     "pay_days": r"""
         SELECT invoice_id,
                CASE WHEN count(paid_on) > 0 THEN
-                   string_agg(coalesce(paid_on::VARCHAR, ''), ',' ORDER BY paid_on NULLS FIRST)
+                   string_agg(coalesce(paid_on::VARCHAR, ''), ',' ORDER BY paid_on NULLS FIRST, amount)
                END AS payment_dates,
-               string_agg(amount::VARCHAR, ',' ORDER BY paid_on NULLS FIRST) AS all_payments
-        FROM (SELECT invoice_id, paid_on, sum(amount)::DECIMAL(18,2) AS amount FROM lines
-              GROUP BY invoice_id, paid_on) GROUP BY invoice_id""",
+               string_agg(amount::VARCHAR, ',' ORDER BY paid_on NULLS FIRST, amount) AS all_payments
+        FROM lines GROUP BY invoice_id""",
     "flat": r"""
         SELECT it.id AS item_id, it.*, o.id AS order_id, o.sale_order_date, o.net_total AS order_total,
                o.sales_channel, o.state AS order_state, o.is_shipment, o.contactable_type,
@@ -465,6 +463,23 @@ RESULTS = {
     "payment_rows": """
         SELECT invoice_id, strftime(paid_on, '%Y-%m-%d') AS paid_on, amount::DOUBLE AS amount, mode,
                is_advance::BIGINT AS is_advance FROM lines""",
+    "payment_lists": "SELECT invoice_id, payment_dates, all_payments FROM pay_days",
+    "installment_lists": """
+        SELECT sale_order_id, string_agg(installment_date::VARCHAR, ',' ORDER BY installment_date, amount)
+                   AS installment_dates,
+               string_agg(amount::DECIMAL(18,2)::VARCHAR, ',' ORDER BY installment_date, amount)
+                   AS installment_amounts
+        FROM installments GROUP BY sale_order_id""",
+    "stored_figures": """
+        SELECT round(t.high, 6) AS average_with_tax, round(t.value, 6) AS average_without_tax,
+               round(d.discount, 6) AS average_discount, round(c.share, 6) AS cc_percentage
+        FROM (SELECT avg(high::DOUBLE) AS high, avg(value::DOUBLE) AS value
+              FROM (SELECT max(invoice_total) AS high, sum(x_quantity * unit_price_without_tax) AS value
+                    FROM flat WHERE order_state <> 'CANCELLED' GROUP BY order_id)) t,
+             (SELECT avg(discount_percentage::DOUBLE) AS discount FROM flat
+              WHERE is_dc = 1 AND invoice_total > 0 AND order_state <> 'CANCELLED') d,
+             (SELECT sum(x_quantity) FILTER (prefix = 'CC')::DOUBLE / sum(x_quantity)::DOUBLE * 100 AS share
+              FROM flat WHERE order_state <> 'CANCELLED') c""",
     "installment_rows": """
         SELECT sale_order_id, strftime(installment_date, '%Y-%m-%d') AS installment_date,
                amount::DOUBLE AS amount FROM installments""",

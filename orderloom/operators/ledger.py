@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.constants import (
     CASH, CHEQUE, INVOICE, LEDGER_ACTIVE, ONLINE, PAYMENT, SETTLED_STATES,
 )
+from orderloom.functions.lists import listed as listed_rows
 from orderloom.functions.matching import ends_with, equals, one_of
 from orderloom.operators.hotkeys import Searches, attach, hot_keys
 from orderloom.settings import Settings
@@ -104,21 +105,32 @@ def payments_by_invoice(
     tables: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     hot: dict | None = None,
+    lists: bool = False,
 ) -> DataFrame:
     """Per invoice: advances, totals by mode, and the payments as a list by day.
 
     A day's payments are summed before the list is built, so the list is no longer than
-    there are days, however many payments an invoice has.
+    there are days, however many payments an invoice has. With `lists` also `payment_lists`.
     """
-    daily = daily_payments(payment_lines(tables, settings, hot), settings)
+    lines = payment_lines(tables, settings, hot)
+    daily = daily_payments(lines, settings)
     listed = F.when(F.col("amount").isNotNull(), F.struct("paid_on", "amount"))
-    return daily.groupBy("invoice_id").agg(
+    found = daily.groupBy("invoice_id").agg(
         F.sum("advance_amount").alias("advance_amount"),
         F.sum("cash_amount").alias("cash_amount"),
         F.sum("cheque_amount").alias("cheque_amount"),
         F.sum("online_amount").alias("online_amount"),
         F.array_sort(F.collect_list(listed)).alias("payments"),
     )
+    return found.join(payment_lists(lines), "invoice_id", "left") if lists else found
+
+
+def payment_lists(lines: DataFrame) -> DataFrame:
+    """Per invoice the days and amounts of its payments as texts, one entry per payment."""
+    return listed_rows(
+        lines.filter("amount is not null"), "invoice_id", "paid_on", "amount",
+        ("payment_dates", "all_payments"),
+    )
 
 
 def mode_totals(tables: Mapping[str, DataFrame], settings: Settings = Settings()) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.constants import ON_DELIVERY_PATTERN
+from orderloom.functions.lists import listed
 from orderloom.functions.matching import like
 from orderloom.functions.times import plus_days
 
@@ -44,6 +45,14 @@ def installments(tables: Mapping[str, DataFrame]) -> DataFrame:
     return plans.select("sale_order_id", "installment_date", "amount")
 
 
+def installment_texts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Days and amounts of an order's instalments as texts, one entry per instalment."""
+    return listed(
+        installments(tables), "sale_order_id", "installment_date", "amount",
+        ("installment_dates", "installment_amounts"),
+    )
+
+
 def installment_lists(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Instalments per order as a list by day; amounts of one day are summed."""
     daily = installments(tables).groupBy("sale_order_id", "installment_date").agg(

@@ -48,6 +48,8 @@ _GROUPS = {
         "payment_score", "advance_amount", "cash_amount", "cheque_amount", "online_amount",
         "all_payments", "payment_dates",
     },
+    "payment_lists": {"all_payments", "payment_dates"},
+    "score": {"payment_score"},
     "delivery": {"payment_score", "delivery_date", "payment_commitment_date"},
     "installments": {
         "payment_score", "is_installment", "installment_dates", "installment_amounts",
@@ -145,7 +147,7 @@ def order_headers(
             "is_installment", F.when(open_plan, 1).otherwise(0)
         )
     if needs("plans"):
-        orders = orders.join(terms.installment_lists(tables), "sale_order_id", "left")
+        orders = orders.join(terms.installment_texts(tables), "sale_order_id", "left")
     if needs("shipment_tat"):
         orders = orders.join(tat.shipment_tat(tables, settings), "sale_order_id", "left")
     if needs("order_tat"):
@@ -238,7 +240,10 @@ def invoice_lines(
         F.col("net_total").alias("invoice_net_total"),
     )
     if needs("payments"):
-        invoices = invoices.join(payments_by_invoice(tables, settings, found["payments"]), "invoice_id", "left")
+        payments = payments_by_invoice(tables, settings, found["payments"], needs("payment_lists"))
+        if not needs("score"):
+            payments = payments.drop("payments")
+        invoices = invoices.join(payments, "invoice_id", "left")
 
     if needs("delivery"):
         shipped = tables["shipment_items"].select(
@@ -356,21 +361,6 @@ def order_items(
     return items
 
 
-def _lists(array: str, *fields: str) -> list[Column]:
-    """The fields of a list of structs, each as comma-separated text; NULL if no struct has it.
-
-    The texts have one entry per struct, empty where the field is missing, so the n-th entries
-    belong together.
-    """
-
-    def text(field: str) -> Column:
-        values = F.transform(F.col(array), lambda e: F.coalesce(e[field].cast("string"), F.lit("")))
-        known = F.exists(F.col(array), lambda e: e[field].isNotNull())
-        return F.when(known, F.array_join(values, ","))
-
-    return [text(field) for field in fields]
-
-
 def build_detail(
     tables: Tables,
     ids: DataFrame | None = None,
@@ -453,7 +443,7 @@ def _finish(rows: DataFrame, settings: Settings, needs) -> DataFrame:
             F.col("delivered_at"), F.col("invoice_date"), settings.ignore_case,
         )
         new["payment_commitment_date"] = commitment
-    if needs("delivery") and needs("payments") and needs("installments"):
+    if needs("score"):
         due = F.when(F.col("is_installment") == 1, F.col("installment_due")).otherwise(
             F.to_date(commitment)
         )
@@ -461,12 +451,9 @@ def _finish(rows: DataFrame, settings: Settings, needs) -> DataFrame:
             F.col("order_state"), F.coalesce(F.col("invoice_net_total"), F.lit(0)), due,
             F.col("payments"), settings.ignore_case,
         )
-    if needs("payments"):
-        new["all_payments"], new["payment_dates"] = _lists("payments", "amount", "paid_on")
     if needs("plans"):
-        texts = _lists("installment_plan", "installment_date", "amount")
-        for name, text in zip(("installment_dates", "installment_amounts"), texts):
-            new[name] = F.when(F.col("is_installment") == 1, text)
+        for name in ("installment_dates", "installment_amounts"):
+            new[name] = F.when(F.col("is_installment") == 1, F.col(name))
     return rows.withColumns(new)
 
 

@@ -175,6 +175,25 @@ def test_installments(spark):
     assert lists == {1: 2, 2: 1}
 
 
+def test_lists_have_an_entry_per_row(spark):
+    rows = {}
+    paid = [(10, "2023-01-02"), (5, "2023-01-02"), (5, "2023-01-02"), (7, "2023-01-01"), (8, None)]
+    for n, (amount, on) in enumerate(paid, 1):
+        add_payment(rows, n, 1, amount, on)
+    add_payment(rows, 20, 2, 3, None)
+    add_payment(rows, 21, 3, None, "2023-01-05")
+    plans = "sale_order_payment_term_installments"
+    for n, (on, amount) in enumerate([("2023-03-01", 4), (None, 1), ("2023-02-01", None), ("2023-03-01", 4)]):
+        add(rows, plans, id=n, sale_order_id=1, installment_date=on, amount=amount)
+    add(rows, plans, id=9, sale_order_id=2)
+    tables = make_tables(spark, rows)
+    found = {r[0]: (r[1], r[2]) for r in ledger.payment_lists(ledger.payment_lines(tables)).collect()}
+    dates = ",2023-01-01,2023-01-02,2023-01-02,2023-01-02"
+    assert found == {1: (dates, "8.00,7.00,5.00,5.00,10.00"), 2: (None, "3.00")}
+    found = {r[0]: (r[1], r[2]) for r in terms.installment_texts(tables).collect()}
+    assert found == {1: (",2023-02-01,2023-03-01,2023-03-01", "1.00,,4.00,4.00"), 2: (None, None)}
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame(
         [("_ON_DELIVERY",), ("CASH ON DELIVERY",), ("ON_DELIVERY",), ("a\\b\\C",), (None,)], "x string"
