@@ -102,7 +102,7 @@ def order_headers(
     needs = needs or (lambda group: True)
     if found is None:
         with Searches() as found:
-            search(tables, settings, needs, found, "orders", "terms", "days", "order_lines")
+            search(tables, settings, needs, found, "orders", "terms", "days", "lines")
             return order_headers(tables, settings, needs, found)
     orders = eligible_orders(tables, settings).select(
         F.col("id").alias("sale_order_id"),
@@ -153,8 +153,7 @@ def order_headers(
     if needs("order_tat"):
         orders = orders.join(tat.order_tat(tables, settings), "sale_order_id", "left")
     if needs("invoice_counts") and not settings.compat:
-        counts = invoices_per_order(tables, settings, found["order_lines"])
-        orders = orders.join(counts, "sale_order_id", "left")
+        orders = orders.join(order_invoices(tables, settings, found["lines"]), "sale_order_id", "left")
 
     payment_terms = tables[_TERMS].select("sale_order_id", "payment_term")
     after_days = tables[_DAYS].select(
@@ -187,11 +186,6 @@ def search(tables: Tables, settings: Settings, needs, found: Searches, *names: s
         keys = ["saleable_id", *(["itemParentable_id"] if needs("meta") else [])]
         return hot_keys(eligible_items(tables, settings), *keys) if needs("products") else {}
 
-    def order_lines() -> dict:
-        if settings.compat or not needs("invoice_counts"):
-            return {}
-        return hot_keys(tables["invoice_items"], "sale_order_item_id", "invoice_id")
-
     searches: dict[str, tuple] = {
         # The longest first.
         "heavy": (heavy_orders, tables, settings),
@@ -202,7 +196,6 @@ def search(tables: Tables, settings: Settings, needs, found: Searches, *names: s
         "shipped": (lambda: hot_keys(tables["shipment_items"], "shipment_id") if needs("delivery") else {},),
         "terms": (lambda: hot_keys(tables[_TERMS], "sale_order_id"),),
         "days": (lambda: hot_keys(tables[_DAYS], "sale_order_id"),),
-        "order_lines": (order_lines,),
     }
     for name in names or searches:
         found.start(name, *searches[name])
@@ -285,25 +278,24 @@ def heavy_orders(tables: Tables, settings: Settings = Settings()) -> dict:
     return heavy_keys(weights, "sale_order_id", "weight")
 
 
-def invoices_per_order(tables: Tables, settings: Settings, hot: dict) -> DataFrame:
-    """Number of different invoices per order, over eligible items."""
-    items = eligible_items(tables, settings).select(
-        F.col("id").alias("sale_order_item_id"), "sale_order_id"
-    )
+def order_invoices(tables: Tables, settings: Settings, hot: dict) -> DataFrame:
+    """First and last invoice per order, over eligible items: they differ if there are several.
+
+    Taken per item first, then per order; both steps combine before they shuffle, so neither a hot
+    item nor a hot order meets in one task, and no pairs of orders and invoices are made.
+    """
     lines = tables["invoice_items"].select(
         F.col("id").alias("invoice_item_id"), "sale_order_item_id", "invoice_id"
     )
-    per_item = attach(
-        lines, items, "sale_order_item_id", hot["sale_order_item_id"], ["invoice_item_id"], "inner"
-    )
-    # One row per pair first: the second step then has no large group to collect. An invoice
-    # with many orders has many lines too, so the hot keys of the lines hold for the pairs.
-    pairs = per_item.select("sale_order_id", "invoice_id").distinct()
     known = tables["invoices"].select(F.col("id").alias("invoice_id"))
-    return (
-        attach(pairs, known, "invoice_id", hot["invoice_id"], ["sale_order_id"], "inner")
-        .groupBy("sale_order_id")
-        .agg(F.count(F.lit(1)).alias("order_invoices"))
+    lines = attach(lines, known, "invoice_id", hot["invoice_id"], ["invoice_item_id"], "inner")
+    ends = [F.min("invoice_id").alias("first_invoice"), F.max("invoice_id").alias("last_invoice")]
+    items = eligible_items(tables, settings).select(
+        F.col("id").alias("sale_order_item_id"), "sale_order_id"
+    )
+    per_item = items.join(lines.groupBy("sale_order_item_id").agg(*ends), "sale_order_item_id")
+    return per_item.groupBy("sale_order_id").agg(
+        F.min("first_invoice").alias("first_invoice"), F.max("last_invoice").alias("last_invoice")
     )
 
 
@@ -434,7 +426,9 @@ def _finish(rows: DataFrame, settings: Settings, needs) -> DataFrame:
         new["non_invoiced_quantity"] = F.col("quantity") - total
     if needs("invoice_counts"):
         new["is_both_invoiced"] = (
-            F.lit(0) if settings.compat else F.when(F.col("order_invoices") > 1, 1).otherwise(0)
+            F.lit(0)
+            if settings.compat
+            else F.when(F.col("first_invoice") < F.col("last_invoice"), 1).otherwise(0)
         )
     if needs("delivery"):
         new["delivery_date"] = F.coalesce(F.col("delivered_at"), F.col("invoice_date"))
