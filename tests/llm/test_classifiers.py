@@ -109,3 +109,73 @@ def test_rejected_documents_go(spark):
     clean = [r.doc_id for r in toxicity.score(table, model).collect() if r.score < toxicity.THRESHOLD]
     assert sorted(map(str, clean)) == sorted(str(r.doc_id) for r in kept.collect())
     assert not any((r.doc_id or 0) >= 100 and r.doc_id % 2 for r in kept.collect())
+
+
+def plain_buckets(text):
+    """Buckets of a text's n-grams, one by one, in whole numbers."""
+    signs = [ord(c) for c in f" {text.lower()} "]
+    found = set()
+    for n in toxicity.SIZES:
+        for i in range(len(signs) - n + 1):
+            h = 0
+            for code in signs[i : i + n]:
+                h = (h * 1000003 + code) % 2**64
+            found.add((h + n) * 0x9E3779B97F4A7C15 % 2**64 >> 64 - toxicity.BITS)
+    return found
+
+
+def test_toxicity_against_plain_form(spark):
+    """Features, log-count ratios and scores by plain counting."""
+    sample = [(k % 2, ("nasty brute ö" if k % 2 else "kind words") + f" and {k % 5} more") for k in range(30)]
+    seen = np.zeros(1 << toxicity.BITS, np.int32)
+    texts = [t for _, t in AWKWARD if t is not None and len(t) < 1000] + [t for _, t in sample]
+    for text in texts:
+        assert set(toxicity.features(text, seen).tolist()) == plain_buckets(text)
+    # After one step the weight of a feature has the sign of its slope, and the size of the rate.
+    model = toxicity.fit(sample, 0.5, steps=1)
+    held = [[t for label, t in sample if label == k] for k in (0, 1)]
+    counts = [{}, {}]
+    for k in (0, 1):
+        for text in held[k]:
+            for b in plain_buckets(text):
+                counts[k][b] = counts[k].get(b, 0) + 1
+    for b in np.flatnonzero(model.weights).tolist():
+        ratio = np.log((counts[1].get(b, 0) + 1) / (len(held[1]) + 2)) - np.log((counts[0].get(b, 0) + 1) / (len(held[0]) + 2))
+        assert abs(abs(model.weights[b]) - 0.05 * abs(ratio)) < 1e-4
+    model = toxicity.fit(sample, 0.5)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs(spark, list(enumerate(texts))), model).collect()}
+    for k, text in enumerate(texts):
+        total = model.bias + sum(float(model.weights[b]) for b in plain_buckets(text))
+        assert scores[k] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-6)
+
+
+def test_quality_against_plain_form():
+    """The attention-weighted score of a bag, passage by passage and number by number."""
+    rng = np.random.default_rng(4)
+    sample = [(k % 2, " ".join(f"{'ab'[k % 2]}{rng.integers(9)}" for _ in range(150 + k))) for k in range(8)]
+    model = quality.fit(sample, 0.5, epochs=2)
+    w = {k: v.astype(float) for k, v in model.weights.items()}
+    for _, text in [*sample, (0, ""), (0, "One, two!\n")]:
+        words = text.split(" ")
+        parts = [words[i : i + quality.PASSAGE] for i in range(0, len(words), quality.PASSAGE)]
+        rows = quality.passages(text)
+        assert len(rows) == len(parts)
+        states, weights = [], []
+        for part, row in zip(parts, rows):
+            data = " ".join(part).encode()
+            lower = sum(b"a"[0] <= b <= b"z"[0] for b in data) / max(1, len(data))
+            assert row[0] == pytest.approx(lower, abs=1e-6)
+            assert row[quality.N_KINDS + 2] == pytest.approx(sum(len(x) == 2 for x in part) / len(part), abs=1e-6)
+            assert row[-5] == pytest.approx(len(set(part)) / len(part), abs=1e-6)
+            x = (row - model.center) / model.scale
+            h = [np.tanh(sum(x[i] * w["encode"][i, j] for i in range(len(x))) + w["encode_bias"][j]) for j in range(quality.HIDDEN)]
+            raw = 0.0
+            for g in range(quality.GATE):
+                v = np.tanh(sum(h[j] * w["value"][j, g] for j in range(quality.HIDDEN)))
+                u = 1 / (1 + np.exp(-sum(h[j] * w["gate"][j, g] for j in range(quality.HIDDEN))))
+                raw += v * u * w["attend"][g]
+            states.append(h)
+            weights.append(np.exp(raw))
+        z = [sum(a * h[j] for a, h in zip(weights, states)) / sum(weights) for j in range(quality.HIDDEN)]
+        total = sum(z[j] * w["read"][j] for j in range(quality.HIDDEN)) + w["read_bias"][0]
+        assert model.scores([rows])[0] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-4)
