@@ -32,8 +32,8 @@ from orderloom.llm.common import id_and_text, map_texts
 # Fixed value: the pattern that splits text into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# Pieces of text whose encoding a worker remembers; beyond that it starts afresh.
-CACHE_PIECES = 400_000
+# Pieces of text that a worker remembers the encoding of, in each of two halves; the older one is dropped.
+CACHE_PIECES = 500_000
 # A stop after a word and before white space: a word of the pattern ends before it.
 STOPS = re.compile(r"[.,](?<=[^\W_].)(?=\s)")
 
@@ -185,6 +185,7 @@ class Codec:
         ordered = sorted(special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if special else None
         self.known: dict[str, tuple[str, bytes]] = {}
+        self.older: dict[str, tuple[str, bytes]] = {}
         self.signs = {i: s.encode() for s, i in special.items()}
         self.numbers = {i: str(i) for i in vocab.values()} | {i: str(i) for i in self.signs}
 
@@ -238,9 +239,13 @@ class Codec:
         parts = list(map(known.get, rest))
         if None in parts:
             if len(known) > CACHE_PIECES:
-                known.clear()
+                # What was asked for since then comes back from the older half.
+                self.older, self.known = known, {}
+                known = self.known
+            older = self.older
             for piece in set(rest).difference(known):
-                known[piece] = self.piece(piece[1:] if piece[:1] == "\0" else " " + piece)
+                found = older.get(piece)
+                known[piece] = found or self.piece(piece[1:] if piece[:1] == "\0" else " " + piece)
             parts = list(map(known.__getitem__, rest))
         return [self.piece(first), *parts] if first else parts
 
