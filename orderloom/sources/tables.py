@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +12,30 @@ from orderloom.schemas import SOURCE_TABLES, conform, struct
 
 
 class Tables(Mapping[str, DataFrame]):
-    """The source tables by name, each loaded and typed when it is first used."""
+    """The source tables by name, each loaded and typed when it is first used.
 
-    def __init__(self, load: Callable[[str], DataFrame]):
-        self._load, self._loaded = load, {}
+    `recent`, if the storage can skip data by time, loads a table without rows that did not change
+    from a moment on; it may leave such rows in.
+    """
+
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        recent: Callable[[str, datetime], DataFrame] | None = None,
+    ):
+        self._load, self._recent, self._loaded = load, recent, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._loaded:
             self._loaded[name] = conform(self._load(name), SOURCE_TABLES[name], name)
         return self._loaded[name]
 
+    def recent(self, name: str, since: datetime) -> DataFrame:
+        """The table, with at least the rows created or updated at `since` or later."""
+        if self._recent is None:
+            return self[name]
+        return conform(self._recent(name, since), SOURCE_TABLES[name], name)
+
     def __iter__(self) -> Iterator[str]:
         return iter(SOURCE_TABLES)
 
@@ -28,6 +43,11 @@ class Tables(Mapping[str, DataFrame]):
         return len(SOURCE_TABLES)
 
 
+def recent(tables: Mapping[str, DataFrame], name: str, since: datetime) -> DataFrame:
+    """`Tables.recent`, or the whole table of any other mapping."""
+    return tables.recent(name, since) if isinstance(tables, Tables) else tables[name]
+
+
 def from_frames(frames: Mapping[str, DataFrame]) -> Tables:
     """The given frames; all source tables must be there."""
     missing = sorted(set(SOURCE_TABLES) - set(frames))
