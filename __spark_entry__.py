@@ -22,6 +22,7 @@ from orderloom.operators import changes, dimensions, kpis, ledger, tat, terms  #
 from orderloom.operators.replace import replace_rows  # noqa: E402
 from orderloom.plans.wide import build_detail, build_wide  # noqa: E402
 from orderloom.schemas import conform  # noqa: E402
+from orderloom.sources import bucketed, clustered  # noqa: E402
 from orderloom.sources.shared import keep, shared_folder  # noqa: E402
 from orderloom.sources.store import WideTable  # noqa: E402
 from orderloom.sources.tables import Tables  # noqa: E402
@@ -93,6 +94,25 @@ def payment_score(t: Tables) -> DataFrame:
     )
 
 
+def changed_orders_clustered(t: Tables) -> DataFrame:
+    """Orders of any age changed for any reason, from tables stored by the year of their last change."""
+    spark = t["sale_orders"].sparkSession
+    root = f"{shared_folder(spark)}/orderloom/clustered-{uuid.uuid4().hex}"
+    clustered.store(t, root, CHANGING, "year")
+    return changes.changed_orders(clustered.from_clustered(spark, root), SINCE, INTENDED)
+
+
+def item_totals_bucketed(t: Tables) -> DataFrame:
+    """Invoiced totals of the items, from tables stored in buckets of items and orders."""
+    spark = t["sale_orders"].sparkSession
+    database = f"orderloom_{uuid.uuid4().hex}"
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = f"{shared_folder(spark)}/orderloom/{database}"
+    bucketed.store(t, spark, database, folder, partitions, BUCKETED)
+    stored = bucketed.from_bucketed(spark, database)
+    return item_invoiced_totals(Tables(lambda name: stored[name] if name in BUCKETED else t[name]))
+
+
 def item_invoiced_totals(t: Tables) -> DataFrame:
     measures = [
         "final_ii_quantity", "is_invoiced", "is_partially_invoiced", "non_invoiced_quantity",
@@ -148,6 +168,15 @@ def wide_skewed(t: Tables) -> DataFrame:
     return rounded(build_detail(skewed(t), settings=SETTINGS, columns=columns), 4, "payment_score")
 
 
+# The tables that change detection reads, and those that totals per item join by item and order.
+CHANGING = [
+    "sale_orders", "sale_order_items", "invoice_items", "invoices", "ledger_transactions",
+    "credit_debit_mappings", "payments", "sale_order_state_logs", "shipments", "shipment_state_logs",
+]
+BUCKETED = [
+    "sale_orders", "sale_order_items", "invoice_items", "sale_order_payment_terms",
+    "sale_order_payment_term_after_deliveries",
+]
 STORED = ["sale_order_item_id", "invoice_item_id", "sale_order_id", "final_ii_quantity", "fetch_date"]
 
 
@@ -288,6 +317,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "payment_score": payment_score,
     "item_invoiced_totals": item_invoiced_totals,
+    "item_totals_bucketed": item_totals_bucketed,
     "order_invoice_counts": order_invoice_counts,
     "type_shortening": type_shortening,
     "address_fields": address_fields,
@@ -297,6 +327,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "changed_orders_created": lambda t: changed(t, "created_at"),
     "changed_orders_updated": lambda t: changed(t, "updated_at"),
     "changed_orders": changed,
+    "changed_orders_clustered": changed_orders_clustered,
     "changed_orders_intended": lambda t: changes.changed_orders(t, SINCE, INTENDED),
     "keyed_replace": keyed_replace,
     "average_ticket_size": average_ticket_size,

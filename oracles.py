@@ -428,6 +428,13 @@ for _name in ("flat", "due", "scores", "scored"):
         _sql = re.sub(rf"\b(FROM|JOIN) {_other}\b", rf"\1 skewed_{_other}", _sql)
     TABLES[f"skewed_{_name}"] = _sql.replace("due.*", "skewed_due.*").replace("scores.score", "skewed_scores.score")
 
+_ITEM_TOTALS = """
+        SELECT item_id AS sale_order_item_id, max(item_quantity)::DOUBLE AS final_ii_quantity,
+               max((item_quantity > 0)::BIGINT) AS is_invoiced,
+               max((item_quantity > 0 AND quantity > item_quantity)::BIGINT) AS is_partially_invoiced,
+               max(quantity - item_quantity)::DOUBLE AS non_invoiced_quantity, count(*)::BIGINT AS n
+        FROM due GROUP BY item_id"""
+
 RESULTS = {
     "wide_build": f"SELECT {_WIDE} FROM scored",
     "wide_detail": f"SELECT {_DETAIL} FROM flat",
@@ -521,12 +528,8 @@ RESULTS = {
     "payment_score": """
         SELECT item_id AS sale_order_item_id, x_id::BIGINT AS invoice_item_id, payment_term, rsm,
                round(payment_score::DOUBLE, 4) AS payment_score FROM scored""",
-    "item_invoiced_totals": """
-        SELECT item_id AS sale_order_item_id, max(item_quantity)::DOUBLE AS final_ii_quantity,
-               max((item_quantity > 0)::BIGINT) AS is_invoiced,
-               max((item_quantity > 0 AND quantity > item_quantity)::BIGINT) AS is_partially_invoiced,
-               max(quantity - item_quantity)::DOUBLE AS non_invoiced_quantity, count(*)::BIGINT AS n
-        FROM due GROUP BY item_id""",
+    "item_invoiced_totals": _ITEM_TOTALS,
+    "item_totals_bucketed": _ITEM_TOTALS,
     "order_invoice_counts": """
         SELECT order_id AS sale_order_id, (count(DISTINCT invoice_id) > 1)::BIGINT AS is_both_invoiced
         FROM flat GROUP BY order_id""",
@@ -549,6 +552,7 @@ RESULTS = {
     "changed_orders_updated": UPDATED_IDS,
     "changed_orders": CHANGED_IDS,
     "changed_orders_intended": INTENDED_IDS,
+    "changed_orders_clustered": INTENDED_IDS,
     "keyed_replace": f"""
         SELECT id AS sale_order_id, net_total::DOUBLE AS net_total,
                (id IN ({CHANGED_IDS}) AND state <> 'CANCELLED')::BIGINT AS is_new

@@ -13,6 +13,12 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Scans of 10 GB or more (Spark's default) that are semi joined with up to some millions of ids, too
+    # many for a broadcast join, are first filtered by a Bloom filter of 8 MB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "32m",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
     # Call sites of expressions are only for error messages and make large plans slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

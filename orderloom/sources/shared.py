@@ -8,7 +8,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+Bounds = tuple[int | None, int | None]
 
 # The folder of the run in progress, if its intermediate tables are to be removed with it.
 _RUN: ContextVar[str | None] = ContextVar("run", default=None)
@@ -43,6 +46,29 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_bounded(df: DataFrame, name: str, *columns: str) -> tuple[DataFrame, dict[str, Bounds]]:
+    """`keep`, and the least and largest value of some columns, observed while the rows are written.
+
+    A task that runs twice is observed twice, which changes neither. Both are None without rows.
+    """
+    seen = Observation()
+    ends = [F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
+    kept = keep(df.observe(seen, *ends), name)
+    return kept, {c: (seen.get[c]["low"], seen.get[c]["high"]) for c in columns}
+
+
+def bounds(df: DataFrame, column: str) -> Bounds:
+    """Least and largest value of a column; None without rows."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return low, high
+
+
+def within(column: str, ends: Bounds) -> Column:
+    """Whether a value lies between the bounds; nothing does if there are none. Reaches the scan."""
+    low, high = ends
+    return F.lit(False) if low is None else F.col(column).between(low, high)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove what `keep` writes inside the block when the block ends.
