@@ -11,7 +11,8 @@ from handmade import add_invoice, add_item, add_line, add_order, make_tables
 from orderloom.schemas import wide_columns, wide_schema
 from orderloom.sources.shared import delete
 from orderloom.sources.store import WideTable
-from orderloom.streaming.sync import run
+from orderloom.streaming import sync
+from orderloom.streaming.sync import rejected_addresses, run
 
 DAY1, DAY2, DAY3 = (datetime(2023, 6, d) for d in (1, 2, 3))
 
@@ -145,6 +146,25 @@ def source(spark, orders):
     return make_tables(spark, rows)
 
 
+def test_an_increment_counts_unread_addresses_in_its_own_rows(spark, store, monkeypatch):
+    """The rejected addresses of an increment are counted in the reduced orders, not in the source."""
+    before, later = datetime(2023, 5, 1), datetime(2023, 6, 2, 5)
+    old = {1: ("COMPLETED", 5, before), 2: ("COMPLETED", 6, before)}
+    run(source(spark, old), store, now=DAY1)
+    tables = source(spark, old | {3: ("COMPLETED", 7, later), 4: ("COMPLETED", 8, later)})
+    asked = []
+
+    def counted(given, ids, settings):
+        frame = rejected_addresses(given, ids, settings)
+        asked.append((given is tables, given["sale_orders"].count()))
+        return frame
+
+    monkeypatch.setattr(sync, "rejected_addresses", counted)
+    done = run(tables, store, now=DAY2)
+    assert (done.orders, done.rejected_addresses) == (2, 2)
+    assert asked == [(False, 2)]
+
+
 def test_runs(spark, store):
     before, later = datetime(2023, 5, 1), datetime(2023, 6, 2, 5)
     first = source(spark, {1: ("COMPLETED", 5, before), 2: ("COMPLETED", 6, before), 31: ("COMPLETED", 7, before)})
