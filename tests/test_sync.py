@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from handmade import add_invoice, add_item, add_line, add_order, make_tables
 from orderloom.schemas import wide_columns, wide_schema
-from orderloom.sources.shared import delete
+from orderloom.sources.shared import delete, keep, scratch
 from orderloom.sources.store import WideTable
 from orderloom.streaming import sync
 from orderloom.streaming.sync import rejected_addresses, run
@@ -219,3 +220,43 @@ def test_first_run_in_batches(spark, store, monkeypatch):
     # The rows tell when they were fetched.
     dates = {r["sale_order_id"]: r["fetch_date"] for r in store.read().collect()}
     assert dates == {n: DAY1 if n < 20 else DAY2 for n in dates}
+
+
+def test_shuffles_are_removed_with_their_job(spark):
+    """A run's shuffles are gone when the job that made them ends, not some time later."""
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffles(), spark.conf.get(setting)
+    with scratch(spark):
+        kept = keep(spark.range(1000).groupBy((F.col("id") % 100).alias("n")).count(), "counted")
+        deadline = time.monotonic() + 20
+        while shuffles() - before and time.monotonic() < deadline:
+            time.sleep(0.1)
+        assert not shuffles() - before
+        assert kept.count() == 100
+    assert spark.conf.get(setting) == was
+
+
+def test_replaced_ranges_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """What was set down by range is put in place as it lies."""
+    plans = []
+    write = WideTable._write
+
+    def written(self, rows, path, overwrite):
+        plans.append((overwrite, rows._jdf.queryExecution().optimizedPlan().toString()))
+        write(self, rows, path, overwrite)
+
+    monkeypatch.setattr(WideTable, "_write", written)
+    store = WideTable(spark, str(tmp_path / "wide"), span=10)
+    rows = wide_rows(spark, {n: [1] for n in range(30)})
+    store.replace(None, rows, None, "first")
+    ids = spark.range(5, 15).select(F.col("id").alias("sale_order_id"))
+    store.replace(ids, rows.join(ids, "sale_order_id", "left_semi").filter("sale_order_id < 12"), None, "second")
+    found = sorted(r[0] for r in store.read().select("sale_order_id").collect())
+    assert found == [*range(12), *range(15, 30)]
+    assert ["Rebalance" in plan for _, plan in plans] == [True, True, False]
