@@ -211,9 +211,11 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -
     )
 
     names = ["tail", "low", "high", "from", "length", "window", "first", "each", "offset"]
-    schema = ", ".join(f"`{n}` long" for n in names)
-    # Rows of the plan depend on the capacity alone, so it is small whatever the data.
-    planned = F.broadcast(spark.createDataFrame(plan.rows, schema))
+    # Rows of the plan depend on the capacity alone, so it is small whatever the data. An Arrow table
+    # needs no Python workers of its own, which a list of rows does.
+    columns = list(zip(*plan.rows)) or [()] * len(names)
+    table = pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
+    planned = F.broadcast(spark.createDataFrame(table))
     item = F.col("first") + F.col("tail_rank") + F.col("base") - F.col("low")
     rank = F.col("tail_rank") + F.col("base")
     tails = (

@@ -525,15 +525,15 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     (name,) = fresh(docs.columns, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (part for batch in batches for part in slices(batch)):
             texts, keep_row = [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column(name).to_pylist()):
+            for text, spans in zip(part.column("text").to_pylist(), part.column(name).to_pylist()):
                 if spans:
                     left = kept_bytes(text.encode(), merged([(s["low"], s["high"]) for s in spans]))
                     text = left.decode("utf-8", "ignore")
                 keep_row.append(not spans or bool(text.strip()))
                 texts.append(text)
-            out = batch.drop_columns([name])
+            out = part.drop_columns([name])
             place = out.schema.get_field_index("text")
             out = out.set_column(place, "text", pa.array(texts, out.schema.field("text").type))
             yield out.filter(pa.array(keep_row, pa.bool_()))

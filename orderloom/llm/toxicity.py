@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import id_and_text, is_held_out, map_texts, training_texts
+from orderloom.llm.common import id_and_text, is_held_out, map_texts, slices, training_texts
 
 BITS = 18
 SIZES = (3, 4, 5, 6)
@@ -159,9 +159,10 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            seen = np.zeros(len(weights), np.int32)
-            texts = batch.column("text")
-            sums = [weights[features(t.as_py() or "", seen)].sum(dtype=np.float64) for t in texts]
-            yield batch.filter(pa.array(np.array(sums, float) + bias < line))
+            for part in slices(batch):
+                seen = np.zeros(len(weights), np.int32)
+                texts = part.column("text")
+                sums = [weights[features(t.as_py() or "", seen)].sum(dtype=np.float64) for t in texts]
+                yield part.filter(pa.array(np.array(sums, float) + bias < line))
 
     return docs.mapInArrow(run, docs.schema)
