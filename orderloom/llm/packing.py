@@ -171,7 +171,7 @@ def tokenize(docs: DataFrame, path: str, end: int = END, capacity: int = CAPACIT
         ranks: dict[int, int] = defaultdict(int)
         for batch in batches:
             for piece in slices(batch):
-                ids = [coder(path).encode(t) + last for t in piece.column("text").to_pylist()]
+                ids = [x + last for x in coder(path).encode_all(piece.column("text").to_pylist())]
                 out = []
                 for x in ids:
                     n = len(x) // 4

@@ -7,12 +7,14 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from orderloom.llm.bpe import byte_signs
 
-# Strings whose ids a worker remembers; beyond that it starts afresh.
-CACHE_STRINGS = 500_000
+# Strings whose ids a worker remembers, so long as no text has more by itself.
+CACHE_STRINGS = 400_000
 # Signs outside those known to be split, lower-cased and composed alike by all libraries.
 ODD = regex.compile("[^\x00-\x1b\x20-\x7f\xa0-\u012f\u0131-\u017f\u0410-\u044f\u2013-\u2026\u4e00-\u9fff]")
 # The end of a word before a comma or full stop: a word of the pattern always ends there.
@@ -42,6 +44,7 @@ class WordCoder:
         # Fixed value: the pattern of the words.
         self.find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -51,30 +54,61 @@ class WordCoder:
             text.isascii() and text.isprintable() or not ODD.search(text)
         )
 
-    def learn(self, strings: set[str]) -> None:
-        """Have the library's model encode the words of new strings."""
-        tokenize, signs, known = self.library.model.tokenize, self.signs, self.known
-        for string in strings:
-            words = [string] if string.isalpha() else self.find.findall(string)
-            if not (string.isascii() and string.isprintable()):
-                words = [w.encode().decode("latin-1").translate(signs) for w in words]
-            ids = [token.id for word in words for token in tokenize(word)]
-            known[string] = array("I", ids).tobytes()
+    def learn(self, string: str) -> bytes:
+        """Ids of a new string; its words are looked up, or given to the library's model."""
+        parts = []
+        for word in [string] if string.isalpha() else self.find.findall(string):
+            found = self.known.get(word)
+            if found is None:
+                if not (word.isascii() and word.isprintable()):
+                    word = word.encode().decode("latin-1").translate(self.signs)
+                found = array("I", [token.id for token in self.library.model.tokenize(word)]).tobytes()
+            parts.append(found)
+        return parts[0] if len(parts) == 1 else b"".join(parts)
+
+    def remembered(self, strings: list[str]) -> list[bytes]:
+        """Ids of distinct strings; half of the memory, what was not asked for of late, is forgotten at once."""
+        parts = list(map(self.known.get, strings))
+        new = parts.count(None)
+        if len(self.known) + new > CACHE_STRINGS // 2:
+            self.known, self.older = {}, self.known
+            self.known.update((s, p) for s, p in zip(strings, parts) if p is not None)
+        if new:
+            known, older, learn = self.known, self.older, self.learn
+            for i, part in enumerate(parts):
+                if part is None:
+                    string = strings[i]
+                    parts[i] = known[string] = older.get(string) or learn(string)
+        return parts
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; a string is looked up once."""
+        plain = [self.plain(text) for text in texts]
+        spaced = [STOPS.sub(r" \g<0>", text.lower()) if ok else "" for text, ok in zip(texts, plain)]
+        strings = pc.utf8_split_whitespace(pa.array(spaced, pa.string()))
+        del spaced
+        numbered = strings.flatten().dictionary_encode()
+        bounds, number = strings.offsets.to_numpy(), numbered.indices.to_numpy()
+        parts = self.remembered(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        del strings, numbered
+        # Numbers of 32 bits do: a text of Arrow has less than 2 GB, and no more ids than bytes.
+        sizes = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
+        first = np.cumsum(sizes, dtype=np.int32) - sizes
+        ids = np.frombuffer(b"".join(parts), "<u4")
+        sizes, first = sizes[number], first[number]
+        ends = np.zeros(len(number) + 1, np.int32)
+        np.cumsum(sizes, out=ends[1:])
+        first -= ends[:-1]
+        places = np.repeat(first, sizes)
+        places += np.arange(len(places), dtype=np.int32)
+        ids, bounds = ids[places], ends[bounds]
+        return [
+            ids[low:high].tobytes() if ok else self.whole(text)
+            for text, ok, low, high in zip(texts, plain, bounds, bounds[1:])
+        ]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not self.plain(text):
-            return self.whole(text)
-        strings = STOPS.sub(r" \g<0>", text.lower()).split()
-        parts = list(map(self.known.get, strings))
-        if None in parts:
-            if len(self.known) > CACHE_STRINGS:
-                self.known.clear()
-            new = set(strings).difference(self.known)
-            if new:
-                self.learn(new)
-            parts = map(self.known.__getitem__, strings)
-        return b"".join(parts)
+        return self.encode_all([text])[0]
 
 
 CODERS: dict[str, WordCoder] = {}

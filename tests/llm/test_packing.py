@@ -8,7 +8,7 @@ import pytest
 from corpus import AWKWARD, docs
 from tokenizers import Tokenizer
 
-from orderloom.llm import packing
+from orderloom.llm import packing, tokens
 from orderloom.llm.tokens import WordCoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,27 @@ def test_ids_as_the_library_gives_them(library):
         assert coder.encode(text) == encoded(library, text)[:-1].tobytes(), text
 
 
+def test_ids_of_many_texts_at_once(library, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_STRINGS", 20)
+    coder, rng = WordCoder(PATH), random.Random(5)
+    words = ["the", "cat's", "naïve", "x1.", "wait...", "\u00a0", "\x0b\x0c", "日本", "(end)", "ÉTÉ,", "<|endoftext|>", "Σ"]
+    for _ in range(40):
+        texts = ["", *(" ".join(rng.choices(words, k=rng.randrange(30))) for _ in range(9)), "a. b, c.\n"]
+        assert coder.encode_all(texts) == [encoded(library, t)[:-1].tobytes() for t in texts]
+    assert coder.encode_all([]) == []
+
+
+def test_strings_in_use_stay_known(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_STRINGS", 100)
+    coder, learned = WordCoder(PATH), Counter()
+    learn = coder.learn
+    monkeypatch.setattr(coder, "learn", lambda string: learned.update([string]) or learn(string))
+    for k in range(400):
+        coder.encode_all(["often seen", f"once{k}"])
+    assert learned["often"] == learned["seen"] == 1
+    assert len(coder.known) + len(coder.older) <= 100
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_fullest_against_all_subsets(seed):
     rng = random.Random(seed)
