@@ -61,6 +61,22 @@ def test_expand_equals_join(spark, facts, lookup, hot):
     assert same(joined, left.join(facts, "key", "left"))
 
 
+@pytest.mark.parametrize("hot", [{}, {7: 4}, {7: 4, None: 3}])
+def test_expand_with_one_more_table(spark, facts, lookup, hot):
+    """A table with a row per key is joined in the same slices, on one shuffle of the left side."""
+    left = lookup.union(spark.sql("select 5L, 'no match' union all select null, 'no key'"))
+    also = spark.sql("select id as key, id * 2 as total from range(0, 2000, 7)").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = expand(left, facts, "key", hot, ["row"], also)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(key") == 3
+        assert same(joined, left.join(also, "key", "left").join(facts, "key", "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_slices_spread_a_hot_key(spark, facts, lookup):
     """Without slices one task gets all rows of the key; with them none gets the most of it."""
     quiet = {
