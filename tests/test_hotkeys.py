@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.operators.hotkeys import attach, expand, heavy_keys, hot_keys
+from orderloom.operators.hotkeys import attach, expand, heavy_keys, hot_keys, none_heavy
 
 ROWS = 4000
 
@@ -33,6 +33,16 @@ def test_finds_hot_keys(facts):
     assert all(n >= 2 for n in found["key"].values())
 
 
+def test_none_heavy(spark, facts):
+    """Proved for even keys with light rows only; a key with many rows or heavy ones is not ruled out."""
+    even = spark.range(ROWS).selectExpr("id % 400 as key")
+    assert none_heavy(even, "key", 2)
+    assert not none_heavy(even, "key", 200)
+    assert not none_heavy(facts, "key", 1)
+    assert not none_heavy(even, "key", 1_000_000)
+    assert none_heavy(even.limit(0), "key", 2)
+
+
 def test_heavy_keys(spark):
     weights = spark.sql("select id as key, if(id = 3, 1000, 1) as weight from range(100)")
     assert set(heavy_keys(weights, "key", "weight")) == {3}

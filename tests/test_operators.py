@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from handmade import add, add_item, add_order, add_payment, make_tables
 from orderloom import Settings
+from orderloom.functions.lists import listed
 from orderloom.functions.matching import class_name, like
 from orderloom.operators import kpis, ledger, tat, terms
 from orderloom.operators.replace import replace_rows
@@ -194,6 +195,39 @@ def test_lists_have_an_entry_per_row(spark):
     assert found == {1: (",2023-02-01,2023-03-01,2023-03-01", "1.00,,4.00,4.00"), 2: (None, None)}
 
 
+def test_lists_in_one_step_are_those_by_day(spark):
+    """Equal rows, equal days, missing parts and missing keys; shuffled once."""
+    rng = random.Random(3)
+    rows = [
+        (rng.choice([1, 2, 3, None]), rng.choice([None, *days]), rng.choice([None, 1, 5, 10]))
+        for days in [[datetime(2023, 1, d).date() for d in (1, 2, 11)]] * 60
+    ] + [(8, None, None), (8, None, None), (9, None, 4)]
+    df = spark.createDataFrame(rows, "k long, day date, amount int").repartition(3)
+    names, also = ("days", "amounts"), {"last": F.max("day"), "rows": F.sum("n")}
+    apart = listed(df, "k", "day", "amount", names, also)
+    together = listed(df, "k", "day", "amount", names, also, together=True)
+    assert sorted(map(str, together.collect())) == sorted(map(str, apart.collect()))
+    assert {(r["k"], r["rows"]) for r in together.collect()} >= {(8, 2), (9, 1)}
+    plan = together._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "listagg" not in plan
+
+
+def test_installment_plans_are_dues_and_texts(spark):
+    rows = {}
+    plans = "sale_order_payment_term_installments"
+    for n, (order, on, amount) in enumerate(
+        [(1, "2023-03-01", 4), (1, None, 1), (1, "2023-02-01", None), (2, None, None), (None, "2023-02-01", 3)]
+    ):
+        add(rows, plans, id=n, sale_order_id=order, installment_date=on, amount=amount)
+    add(rows, plans, sale_order_id=3, amount=1)
+    tables = make_tables(spark, rows)
+    columns = ["sale_order_id", "installment_due", "installments", "installment_dates", "installment_amounts"]
+    expected = terms.installment_due(tables).join(terms.installment_texts(tables), "sale_order_id")
+    found = terms.installment_plans(tables).select(*columns)
+    assert sorted(found.collect()) == sorted(expected.select(*columns).collect())
+    assert {r["sale_order_id"]: r["installments"] for r in found.collect()} == {1: 3, 2: 1}
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame(
         [("_ON_DELIVERY",), ("CASH ON DELIVERY",), ("ON_DELIVERY",), ("a\\b\\C",), (None,)], "x string"

@@ -113,3 +113,42 @@ def test_an_order_is_heavy_by_its_invoice_items(spark):
     for n in range(400):
         add_line(rows, n, 7 if n % 4 else n % 40, 1, 1)
     assert set(wide.heavy_orders(make_tables(spark, rows))) == {7}
+
+
+def test_orders_that_cannot_be_heavy_are_not_summed(spark, monkeypatch):
+    rows = {}
+    for n in range(100):
+        add_order(rows, n)
+        add_item(rows, n, n)
+        add_line(rows, n, n, 1, 1)
+        add_line(rows, 1000 + n, None, 1, 1)
+    monkeypatch.setattr(wide, "heavy_keys", lambda *a: pytest.fail("weights were summed"))
+    assert wide.heavy_orders(make_tables(spark, rows)) == {}
+
+
+def test_terms_without_hot_orders_are_joined_plainly(spark):
+    many = spark.sql("select id % 500 as sale_order_id, 'T' as payment_term from range(1000)")
+    orders = spark.sql("select id as sale_order_id from range(600)")
+    out = wide._repeated(orders, many, "n", False, {"sale_order_id": {None: 2}})
+    assert out.count() == 1100 and out.columns == ["sale_order_id", "n", "payment_term"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_nth" not in plan and "Aggregate" not in plan
+
+
+def test_payment_lists_alone_read_the_payments_once(spark, tables, monkeypatch):
+    """Lists without totals are those with totals; crowded invoices are put together by day."""
+    columns = ["sale_order_item_id", "invoice_item_id", "payment_dates", "all_payments", "installment_dates"]
+    steps = []
+    monkeypatch.setattr(
+        ledger, "payment_lines", lambda *a, f=ledger.payment_lines: steps.append("lines") or f(*a)
+    )
+    monkeypatch.setattr(
+        ledger, "daily_payments", lambda *a, f=ledger.daily_payments: steps.append("daily") or f(*a)
+    )
+    alone = build_detail(tables, columns=columns)
+    assert steps == ["lines"]
+    both = build_detail(tables, columns=[*columns, "cash_amount"]).drop("cash_amount")
+    assert steps == ["lines", "lines", "daily"]
+    assert content(alone) == content(both)
+    plain(monkeypatch)
+    assert content(alone) == content(build_detail(tables, columns=columns))
