@@ -260,3 +260,21 @@ def test_replaced_ranges_are_shuffled_once(spark, tmp_path, monkeypatch):
     found = sorted(r[0] for r in store.read().select("sale_order_id").collect())
     assert found == [*range(12), *range(15, 30)]
     assert ["Rebalance" in plan for _, plan in plans] == [True, True, False]
+
+
+def test_wide_rows_are_copied_step_by_step(spark, store, monkeypatch):
+    """Code made for whole stages of wide rows is too long to be compiled; other jobs keep theirs."""
+    setting, seen = "spark.sql.codegen.wholeStage", []
+    write = WideTable._write
+
+    def written(self, rows, path, overwrite):
+        seen.append((overwrite, spark.conf.get(setting)))
+        write(self, rows, path, overwrite)
+
+    monkeypatch.setattr(WideTable, "_write", written)
+    was = spark.conf.get(setting)
+    store.replace(None, wide_rows(spark, {1: [5], 2: [4]}), DAY1, "a")
+    store.replace(order_ids(spark, 1), wide_rows(spark, {1: [6]}), DAY2, "b")
+    assert seen == [("static", "false"), ("static", "false"), ("dynamic", "false")]
+    assert spark.conf.get(setting) == was
+    assert content(store) == {1: [6], 2: [4]}
